@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stenoloom.llm.bpe_lexicon import encode
 from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
+from stenoloom.llm.leakage import leaks
 from stenoloom.llm.sentences import sentence_ends
 from stenoloom.llm.term_frequency import term_statistics
 from stenoloom.sources.tables import table
@@ -44,8 +45,12 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids]
+    found = [p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found]
     return {f.__name__: f for f in found}
 
 
