@@ -6,8 +6,11 @@ our own is set only where the session names none (unit tests on one machine).
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,18 +48,43 @@ def drop(*cuts: DataFrame | None) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
-    """Put ``content`` into the shared folder and let Spark hand it to every executor.
-
-    Returns the name under which ``SparkFiles.get`` finds it on a worker.
-    """
+def _put(spark: SparkSession, content: bytes, name: str) -> str:
+    """Write ``content`` into the shared folder; its full path."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    unique = f"{name}-{uuid.uuid4().hex}"
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{unique}")
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
     out = path.getFileSystem(conf).create(path)
     try:
         out.write(bytearray(content))
     finally:
         out.close()
-    spark.sparkContext.addFile(path.getFileSystem(conf).makeQualified(path).toString())
+    return path.getFileSystem(conf).makeQualified(path).toString()
+
+
+def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
+    """Put ``content`` into the shared folder and let Spark hand it to every executor.
+
+    Returns the name under which ``SparkFiles.get`` finds it on a worker; an executor that
+    takes the place of a lost one fetches it anew.
+    """
+    unique = f"{name}-{uuid.uuid4().hex}"
+    spark.sparkContext.addFile(_put(spark, content, unique))
     return unique
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the workers of a session, once, wherever they were started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    package = Path(__file__).resolve().parents[1]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(package.rglob("*")):
+            if p.is_file() and "__pycache__" not in p.parts:
+                z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(_put(spark, out.getvalue(), f"{package.name}-{uuid.uuid4().hex}.zip"))
+    _shipped.add(app)
