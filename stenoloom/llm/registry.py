@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stenoloom.llm.bpe_lexicon import encode
 from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
+from stenoloom.llm.language_id import stretches, wrong_labels
 from stenoloom.llm.leakage import leaks
 from stenoloom.llm.sentences import sentence_ends
 from stenoloom.llm.term_frequency import term_statistics
@@ -49,8 +50,16 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
 
 
+def p10_stretches(spark: SparkSession, folder: str) -> DataFrame:
+    return stretches(table(spark, folder, "documents"), "doc_id", "text", "lang")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return wrong_labels(table(spark, folder, "documents"), "doc_id", "text", "lang")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found]
+    found = [p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
     return {f.__name__: f for f in found}
 
 
