@@ -14,12 +14,21 @@ from stenoloom.llm.golden_record import golden_records
 from stenoloom.llm.language_id import stretches, wrong_labels
 from stenoloom.llm.leakage import leaks
 from stenoloom.llm.sentences import sentence_ends
+from stenoloom.llm.speaker_turns import speaker_turns
 from stenoloom.llm.term_frequency import term_statistics
 from stenoloom.sources.tables import table
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
+    return speaker_turns(table(spark, folder, "transcript_original"), table(spark, folder, "speakers"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_turns(spark, folder).select("file_idx", "page_idx", "line_no", "spk_id")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return golden_records(table(spark, folder, "speaker_records")).select("grp", "speaker_name", "total_words")
 
@@ -59,7 +68,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
+    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
     return {f.__name__: f for f in found}
 
 
