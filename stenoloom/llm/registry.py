@@ -13,6 +13,7 @@ from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
 from stenoloom.llm.language_id import stretches, wrong_labels
 from stenoloom.llm.leakage import leaks
+from stenoloom.llm.page_repair import page_findings, page_paragraphs
 from stenoloom.llm.sentences import sentence_ends
 from stenoloom.llm.speaker_turns import speaker_turns
 from stenoloom.llm.term_frequency import term_statistics
@@ -47,6 +48,14 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("speaker_id"), "group_id")
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return page_findings(table(spark, folder, "scanned_pages"), table(spark, folder, "wordlist"), "transcript_original")
+
+
+def p6_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return page_paragraphs(table(spark, folder, "scanned_pages"), table(spark, folder, "wordlist"), "transcript_original")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_ends(table(spark, folder, "transcript_turns"), "turn_id", "transcript_original", "lang").distinct()
 
@@ -68,7 +77,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p5_found, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
+    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p5_found, p6_found, p6_paragraphs, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
     return {f.__name__: f for f in found}
 
 

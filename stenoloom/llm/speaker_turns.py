@@ -15,7 +15,7 @@ from stenoloom.plans.durable import cut
 TITLES = frozenset("MR MRS MS MISS DR PROF PROFESSOR JUSTICE SHRI SMT SIR MADAM ADV ADVOCATE THE LEARNED HON'BLE HONBLE LORD LADY CHIEF".split())
 _GOES_ON = r"(?:[(\[]\s*(?:contd|cont'd|cont|continuing|continued)\.?\s*[)\]])"
 
-_TIME = r"[\[(<{]?\s*\d{1,2}[:.]\d{2}(?:[:.]\d{2})?(?:[.,]\d{1,3})?(?:\s*[ap]\.?m\.?)?(?:\s+IST)?\s*[\])>}]?"
+_TIME = r"[\[(<{]?\s*\d{1,2}[:.]\d{2}(?:[:.]\d{2})?(?:[.,]\d{1,3})?(?:\s*[ap]\.?m\b\.?)?(?:\s+IST)?\s*[\])>}]?"
 _AHEAD = regex.compile(rf"^(?:\s+|>>+|-->|{_TIME}(?=\s|-->|[A-Za-z>])|\[[^\]]{{0,60}}\]|\{{[^}}]{{0,60}}\}}|<<?[^<>]{{0,60}}>>?|\*[^*]{{1,60}}\*)*", regex.I)
 _LABEL = regex.compile(rf"([\p{{L}}][\p{{L}}\p{{N}}\p{{M}} .,'’\t]{{1,70}}?)\s*{_GOES_ON}?\s*(?::-|:|(?<=[\s)\]])(?:>|–|—|-)(?=\s|$))", regex.I)
 #: Whole lines that are layout, whatever the collection.
