@@ -13,6 +13,7 @@ from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
 from stenoloom.llm.language_id import stretches, wrong_labels
 from stenoloom.llm.leakage import leaks
+from stenoloom.llm.name_variants import name_groups, name_pairs
 from stenoloom.llm.page_repair import page_findings, page_paragraphs
 from stenoloom.llm.sentences import sentence_ends
 from stenoloom.llm.speaker_turns import speaker_turns
@@ -42,6 +43,14 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_terms(spark, folder).where("mark is not null").select("category", "token", "mark")
 
 
+def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return name_groups(table(spark, folder, "speaker_aliases"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return name_pairs(table(spark, folder, "speaker_aliases"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     links = table(spark, folder, "speaker_links")
     return connected_groups(links, "left_speaker_id", "right_speaker_id", F.col("is_match") == 1).select(
@@ -77,7 +86,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p5_found, p6_found, p6_paragraphs, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
+    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p4_groups, p4_found, p5_found, p6_found, p6_paragraphs, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
     return {f.__name__: f for f in found}
 
 
