@@ -19,9 +19,9 @@ from stenoloom.plans.durable import cut
 TITLES = frozenset("MR MRS MS MISS DR PROF PROFESSOR JUSTICE SHRI SMT SIR HON'BLE HONBLE ADVOCATE ADV LD LEARNED SR JR SENIOR THE M/S MESSRS".split())
 # Words for kinds of organisations and their usual short forms.
 ORG_WORDS = {
-    "ASSOCIATION": "ASSN ASSOC", "AUTHORITY": "AUTH AUTHY", "BOARD": "BD", "BUREAU": "BUR", "COMMISSION": "COMMN COMM", "COMMITTEE": "CTTE CMTE", "COMPANY": "CO COY",
-    "COOPERATIVE": "CO-OP COOP", "CORPORATION": "CORPN CORP", "COUNCIL": "CNCL CL", "DEPARTMENT": "DEPT", "FEDERATION": "FEDN FED", "FOUNDATION": "FDN FNDN",
-    "INSTITUTE": "INST", "LIMITED": "LTD", "MINISTRY": "MIN", "SOCIETY": "SOC SOCY", "TRUST": "TR TRST", "UNION": "UN", "UNIVERSITY": "UNIV",
+    "ASSOCIATION": "ASSN ASSOC", "AUTHORITY": "AUTH AUTHY", "BOARD": "BRD", "BUREAU": "BUR", "COMMISSION": "COMMN COMM", "COMMITTEE": "CTTE CMTE", "COMPANY": "CO COY",
+    "COOPERATIVE": "CO-OP COOP", "CORPORATION": "CORPN CORP", "COUNCIL": "CNCL", "DEPARTMENT": "DEPT", "FEDERATION": "FEDN FED", "FOUNDATION": "FDN FNDN",
+    "INSTITUTE": "INST", "LIMITED": "LTD", "MINISTRY": "MINY", "SOCIETY": "SOCY", "TRUST": "TRST", "UNION": "UNN", "UNIVERSITY": "UNIV",
 }
 _SHORT_ORG = {s: w for w, shorts in ORG_WORDS.items() for s in shorts.split()} | {w: w for w in ORG_WORDS}
 # Usual short names of given names.
@@ -94,7 +94,7 @@ class Speller:
             return None
         own = self.n.get(word, 0)
         best, score = (word, log(own)) if own else (None, -1e9)
-        most = 0 if len(word) < 4 else 1 if len(word) < 6 else 2
+        most = 1 if len(word) < 6 else 2
         for size in range(len(word) - most, len(word) + most + 1):
             for w in self.by_size.get(size, ()):
                 if w != word and self.n[w] > own and (d := edits(word, w, most)) <= most:
@@ -104,6 +104,16 @@ class Speller:
         return best
 
 
+# Forms of address that people keep.
+KEPT_TITLES = ("MRS", "MS", "MR", "DR", "PROF", "JUSTICE")
+
+
+def kept_title(raw: str) -> str:
+    """The lasting form of address at the beginning of a name, or an empty text."""
+    first = tidy(raw).split(" ")[0].rstrip(".")
+    return first if first in KEPT_TITLES else ""
+
+
 def parse(raw: str, speller: Speller) -> tuple[str, int, str, str, str] | None:
     """(kind, level, given, family, letters) of a typed name.
 
@@ -135,6 +145,8 @@ def parse(raw: str, speller: Speller) -> tuple[str, int, str, str, str] | None:
     if len(words) == 1:
         return _one(words[0], speller)
     known = [speller.known(w) for w in words]
+    if words[-1] == "TR" and len(words) > 2 and words[-2] in speller.n:
+        known[-1] = "TRUST"
     kinds = [i for i, k in enumerate(known) if k in ORG_WORDS]
     if kinds:
         own, rest = [], []
@@ -157,7 +169,7 @@ def parse(raw: str, speller: Speller) -> tuple[str, int, str, str, str] | None:
     if not known[0] and len(words) > 2 and (k := speller.known(words[0] + words[1])) and len(words[0]) > 1 and k in speller.n:
         words = [words[0] + words[1], *words[2:]]
     at = 1
-    while at < len(words) - 1 and (len(words[at]) == 1 or speller.known(words[at]) in speller.n and edits(words[at], speller.known(words[at])) <= 1):
+    while at < len(words) - 1 and (len(words[at]) == 1 or words[at] in speller.n or len(words[at]) > 4 and speller.known(words[at]) in speller.n):
         at += 1
     return _person(words[:at], "".join(words[at:]), speller)
 
@@ -194,7 +206,7 @@ def _one(word: str, speller: Speller) -> tuple[str, int, str, str, str]:
     return "P", 1, "", word, ""
 
 
-def known_words(names: DataFrame, raw: str, tag: str, share: int = 5000) -> dict[str, int]:
+def known_words(names: DataFrame, raw: str, tag: str, share: int = 500) -> dict[str, int]:
     """Words found in at least 4 tags and in one row of ``share``, with their number of rows.
 
     Counted over all rows; by the share there are at most ``share`` times the words of a name.
@@ -225,7 +237,8 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     short and pet names, missing spaces).  Forms in full are candidates for canonical spellings;
     every form is attached to the candidate of its tag with the highest posterior, that is the
     log of its frequency less the cost of the edits, of an initial in place of the given name
-    (4), or of a missing given name (6); a form is attached only to one with a fuller name, or an
+    (4), or of a missing given name (6), and two more or less for the same or another form of
+    address; a form is attached only to one with a fuller name, or an
     equally full one that is more frequent (of equals the smaller spelling).  Attachments are
     consolidated by :func:`connected_groups`.
 
@@ -249,41 +262,47 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
                 p = parse(x, speller)
                 if p:
                     at.append(i)
-                    out.append(p)
+                    out.append((*p, kept_title(x)))
             t = pa.array(at, pa.int64())
-            cols = list(zip(*out)) or [[]] * 5
-            types = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string())
+            cols = list(zip(*out)) or [[]] * 6
+            types = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(t), b.column(1).take(t), *(pa.array(c, k) for c, k in zip(cols, types))],
-                ["id", "tag", "kind", "level", "given", "family", "letters"])
+                ["id", "tag", "kind", "level", "given", "family", "letters", "title"])
 
     of_key = names.select(key).schema[0].dataType.simpleString()
-    parsed = rows.mapInArrow(read, f"id {of_key}, tag string, kind string, level int, given string, family string, letters string")
-    form = F.concat_ws("\x01", F.coalesce("tag", F.lit("\x02")), "kind", F.col("level").cast("string"), "given", "family", F.when(F.col("level") == 1, F.col("letters")).otherwise(""))
+    parsed = rows.mapInArrow(read, f"id {of_key}, tag string, kind string, level int, given string, family string, letters string, title string")
+    form = F.concat_ws("\x01", F.coalesce("tag", F.lit("\x02")), "kind", F.col("level").cast("string"), "given", "family", F.when(F.col("level") == 1, F.col("letters")).otherwise(""),
+                       F.when(F.col("level") < 3, F.col("title")).otherwise(""))
     parsed = cut(parsed.withColumn("form", form))
     forms = cut(parsed.groupBy("form").agg(
-        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("tag", "kind", "level", "given", "family", "letters")]))
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("tag", "kind", "level", "given", "family", "letters")],
+        F.array_remove(F.collect_set("title"), "").alias("titles")))
 
-    keyed = forms.where("kind <> 'R' and family <> ''").withColumn(
-        "hole", F.explode(F.when(F.length("family") >= 8, _holes(F.col("family"), 2)).otherwise(_holes(F.col("family"), 1))))
+    # letters that scanning takes apart also meet as one
+    forms = forms.withColumn("joined", F.replace(F.replace(F.col("family"), F.lit("RN"), F.lit("M")), F.lit("VV"), F.lit("W")))
+    left_out = F.array_union(*[F.when(F.length(c) >= 8, _holes(F.col(c), 2)).otherwise(_holes(F.col(c), 1)) for c in ("family", "joined")])
+    keyed = forms.where("kind <> 'R' and family <> ''").withColumn("hole", F.explode(left_out))
     keyed = keyed.withColumn("tag", F.coalesce("tag", F.lit("\x02")))
     # who may be the canonical form of whom: a fuller one, or an equally full one
-    full = keyed.where("level >= 2").select("tag", "kind", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family")])
+    full = keyed.where("level >= 2").select("tag", "kind", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family", "joined", "titles")])
     initial = F.substring("given", 1, 1)
     same_given = keyed.where("level = 3").join(
         full.where("c_level = 3").withColumnRenamed("c_given", "given").withColumn("c_given", F.col("given")), ["tag", "kind", "hole", "given"])
     by_initial = keyed.where("level = 2").withColumn("i", initial).join(
         full.withColumn("i", F.substring("c_given", 1, 1)), ["tag", "kind", "hole", "i"])
     bare = keyed.where("level = 1").join(full, ["tag", "kind", "hole"])
-    cols = ["form", "n", "level", "family", "c_form", "c_n", "c_level", "c_family"]
+    cols = ["form", "n", "level", "family", "titles", "c_titles", "c_form", "c_n", "c_level", "c_family", "joined", "c_joined"]
     pairs = same_given.select(cols).unionByName(by_initial.select(cols)).unionByName(bare.select(cols)).where("form <> c_form").distinct()
-    d = F.levenshtein("family", "c_family")
+    d = F.least(F.levenshtein("family", "c_family"), F.levenshtein("joined", "c_joined"))
     swapped = F.array_join(F.array_sort(F.split("family", "")), "") == F.array_join(F.array_sort(F.split("c_family", "")), "")
     near = (d <= 1) | ((d <= 2) & ((F.least(F.length("family"), F.length("c_family")) >= 6) | swapped))
     rank = F.struct("c_level", "c_n"), F.struct("level", "n")
     fuller = (rank[0] > rank[1]) | ((rank[0] == rank[1]) & (F.col("c_form") < F.col("form")))
     cost = F.lit(3.0) * d + F.when(F.col("level") == 2, 4.0).when(F.col("level") == 1, 6.0).otherwise(0.0)
-    scored = pairs.where(near & fuller).withColumn("posterior", F.log("c_n") - cost + F.when(F.col("c_level") == 3, 1.0).otherwise(0.0))
+    # the form of address tells persons of one family name apart
+    address = F.when(F.arrays_overlap("titles", "c_titles"), 2.0).when((F.size("titles") > 0) & (F.size("c_titles") > 0), -2.0).otherwise(0.0)
+    scored = pairs.where(near & fuller).withColumn("posterior", F.log("c_n") - cost + address + F.when(F.col("c_level") == 3, 1.0).otherwise(0.0))
 
     letters = forms.where("kind = 'O'").withColumn("tag", F.coalesce("tag", F.lit("\x02")))
     short = letters.where("level = 1").select("tag", "letters", "form")
