@@ -19,7 +19,7 @@ ROLES = (
     "ADVOCATE", "COUNSEL", r"PETITIONER'S COUNSEL(?: \d*)?", r"RESPONDENT'S COUNSEL(?: \d*)?", "CLAIMANT'S COUNSEL", "NODAL COUNSEL",
     "COURT MASTER", "BENCH", "COURT", "INTERPRETER", "REGISTRAR", "AMICUS", "JUDGE", "JUSTICE", "SPEAKER",
 )
-_TITLE = r"^(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")\b\.?+\s*+(?=\S)"
+_TITLE = r"(?U)^(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")\b\.?+\s*+(?=\S)"
 _ROLE = "^(?:" + "|".join(ROLES) + ")$"
 #: Titles one after another that are taken off.
 MOST_TITLES = 4
@@ -42,7 +42,7 @@ def strip_titles(raw: Column) -> Column:
     name = upper_trim(raw)
     for _ in range(MOST_TITLES):
         name = F.regexp_replace(name, _TITLE, "")
-    return F.trim(F.regexp_replace(F.translate(name, ".", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(name, ".", " "), r"(?U)\s+", " "))
 
 
 def titles_of(raw: Column) -> Column:

@@ -9,21 +9,26 @@ from stenoloom.functions.regex import let
 
 ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
-SCALES = ("", " thousand", " million", " billion", " trillion")
+SCALES = ("thousand", "million", "billion", "trillion")
 #: Last words whose ordinal is not just "th" added.
 ORDINALS = {"one": "first", "two": "second", "three": "third", "five": "fifth", "eight": "eighth", "nine": "ninth", "twelve": "twelfth"}
 
 _BELOW_100 = [ONES[n] if n < 20 else TENS[n // 10 - 2] + (f" {ONES[n % 10]}" if n % 10 else "") for n in range(100)]
 
 
+def _table(words: list[str]) -> Column:
+    """A constant array, written as one literal so that plans stay small; folded by the optimizer."""
+    return F.split(F.lit("|".join(words)), r"\|")
+
+
 def _below_100(n: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in _BELOW_100]), (n + 1).cast("int"))
+    return F.element_at(_table(_BELOW_100), (n + 1).cast("int"))
 
 
 def digits(text: Column) -> Column:
     """Each digit by itself: 105 -> one zero five."""
-    words = F.array(*[F.lit(w) for w in ONES[:10]])
-    return F.array_join(F.transform(F.filter(F.split(text, ""), lambda d: d.rlike("[0-9]")), lambda d: F.element_at(words, d.cast("int") + 1)), " ")
+    found = F.regexp_extract_all(text, F.lit("[0-9]"), F.lit(0))
+    return F.array_join(F.transform(found, lambda d: F.element_at(_table(ONES[:10]), d.cast("int") + 1)), " ")
 
 
 def _below_1000(n: Column) -> Column:
@@ -36,14 +41,14 @@ def cardinal(number: Column) -> Column:
     """A whole number (BIGINT, below 10^15) in words, with "and" before the last two digits and
     commas between the groups of three."""
     def body(n: Column) -> Column:
-        parts = []
-        for k in range(len(SCALES) - 1, 0, -1):
-            group = F.floor(n / 1000**k) % 1000
-            parts.append(F.when(group > 0, F.concat(_below_1000(group), F.lit(SCALES[k]))))
-        high = F.array_join(F.array_compact(F.array(*parts)), ", ")
+        def group(k: Column) -> Column:
+            g = F.floor(n / F.pow(F.lit(1000), k)).cast("bigint") % 1000
+            return let(g, lambda x: F.when(x > 0, F.concat_ws(" ", _below_1000(x), F.element_at(_table(list(SCALES)), k))))
+
+        high = F.array_join(F.array_compact(F.transform(F.array(*[F.lit(k) for k in range(len(SCALES), 0, -1)]), group)), ", ")
         low = n % 1000
-        joined = F.when(low == 0, high).when(low < 100, F.concat(high, F.lit(" and "), _below_100(low))).otherwise(F.concat(high, F.lit(", "), _below_1000(low)))
-        return F.when(n < 1000, _below_1000(n)).otherwise(joined)
+        comma = F.when(low == 0, "").when(low < 100, " and ").otherwise(", ")
+        return F.when(n < 1000, _below_1000(n)).otherwise(F.concat(high, comma, F.when(low > 0, _below_1000(low)).otherwise("")))
 
     return let(number.cast("bigint"), body)
 
@@ -52,15 +57,11 @@ def chunked(number: Column) -> Column:
     """Up to four digits by twos and hundreds as read aloud: 370 -> three seventy, 1950 ->
     nineteen fifty, 1100 -> eleven hundred, 1000 -> one thousand; larger ones as :func:`cardinal`."""
     def body(n: Column) -> Column:
-        h, r = F.floor(n / 100), n % 100
-        return (
-            F.when(n < 100, _below_100(n))
-            .when((n < 1000) & (r == 0), F.concat(_below_100(h), F.lit(" hundred")))
-            .when(n < 1000, F.concat_ws(" ", _below_100(h), _below_100(r)))
-            .when((n < 10000) & (r == 0) & (h % 10 == 0), F.concat(_below_100(F.floor(h / 10)), F.lit(" thousand")))
-            .when((n < 10000) & (r == 0), F.concat(_below_100(h), F.lit(" hundred")))
-            .when(n < 10000, F.concat_ws(" ", _below_100(h), _below_100(r)))
-            .otherwise(cardinal(n)))
+        h, r = F.floor(n / 100).cast("bigint"), n % 100
+        thousand = (r == 0) & (h >= 10) & (h % 10 == 0)
+        head = _below_100(F.when(thousand, F.floor(h / 10)).otherwise(h))
+        tail = F.when(thousand, "thousand").when(r == 0, "hundred").otherwise(_below_100(r))
+        return F.when(n < 100, _below_100(n)).when(n < 10000, F.concat_ws(" ", head, tail)).otherwise(cardinal(n))
 
     return let(number.cast("bigint"), body)
 
@@ -93,7 +94,7 @@ def roman(text: Column) -> Column:
 
 def whole(text: Column) -> Column:
     """Digits as a number; null beyond 15 digits."""
-    return F.when(F.length(text) <= 15, text.cast("bigint"))
+    return F.when(F.length(text) <= 15, text.try_cast("bigint"))
 
 
 def spoken(text: Column) -> Column:

@@ -24,22 +24,6 @@ def replace_with(text: Column, pattern: str, make: Callable[[Column, Column], Co
     return let(text, lambda t: F.when(t.rlike(pattern), body(t)).otherwise(t))
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Array of (start, end, token) of all matches, offsets in characters from 0."""
-    def body(t: Column) -> Column:
-        pieces = F.split(t, pattern, -1)
-        hits = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
-        pairs = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-        none = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int,token:string>>").alias("all"))
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["end"] + F.length(x["p"])
-            end = start + F.length(x["h"])
-            return F.struct(end.alias("end"), F.concat(acc["all"], F.array(F.struct(start.alias("start"), end.alias("end"), x["h"].alias("token")))).alias("all"))
-        return F.aggregate(pairs, none, step, lambda acc: acc["all"])
-
-    return let(text, body)
-
-
 def steps(text: Column, *rules: tuple[str, str]) -> Column:
     """``regexp_replace`` of each (pattern, replacement) in order."""
     for pattern, new in rules:

@@ -39,7 +39,7 @@ def characters(texts: DataFrame, text: str) -> DataFrame:
 
 def nsw_tokens(texts: DataFrame, text: str) -> DataFrame:
     """(category, token) of every non-standard word."""
-    return texts.select(F.explode(scan(F.col(text))).alias("x")).select("x.category", "x.token")
+    return scan(texts, text)
 
 
 def nsw_frequency(texts: DataFrame, text: str) -> DataFrame:

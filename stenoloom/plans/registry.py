@@ -1,15 +1,238 @@
-"""Queries of the core and the SQL that checks them."""
+"""Queries of the core over whole tables, and the SQL that checks them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stenoloom.functions import clean as cl
+from stenoloom.functions import names as nm
+from stenoloom.functions import numbers as nb
+from stenoloom.functions.spoken import spoken_form
+from stenoloom.operators import frequency as fq
+from stenoloom.operators import sentences as st
+from stenoloom.operators import speakers as sp
+from stenoloom.operators import turns as tn
+from stenoloom.operators.order import with_rank
+from stenoloom.plans import jobs
+from stenoloom.plans.durable import cut
+from stenoloom.plans.registry_sql import ORACLES
+from stenoloom.sources.tables import table
+from stenoloom.sources.lexicon import read_aliases
+from stenoloom.streaming import line_statistics
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "transcript_original")
+
+
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of the turns table, once per turn, as turns of their files."""
+    return table(spark, d, "transcript_turns").select("turn_id", "file_idx", "turn_idx", "raw_name", F.col("transcript_original").alias("body")).distinct().where("body is not null")
+
+
+def word_freq_tokens(spark, d):
+    return fq.counted(fq.token_words(_texts(spark, d), "body"), "word")
+
+
+def word_freq_stripped(spark, d):
+    return fq.counted(fq.stripped_words(table(spark, d, "documents"), "text"), "word", 4)
+
+
+def char_freq(spark, d):
+    return fq.counted(fq.characters(_texts(spark, d), "body"), "ch", 3)
+
+
+def turns_from_lines(spark, d):
+    return tn.turns(_lines(spark, d))
+
+
+def noise_line_counts(spark, d):
+    return tn.noise_counts(_lines(spark, d))
+
+
+def speaker_file_words(spark, d):
+    return tn.speaker_file_words(tn.turns(_lines(spark, d)))
+
+
+def speaker_file_matrix(spark, d):
+    per = tn.speaker_file_words(tn.turns(_lines(spark, d))).where("words > 0")
+    cells = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("speaker", "words"))), lambda x: F.concat(x["speaker"], F.lit("="), x["words"].cast("string"))), "; ")
+    return per.groupBy("file_idx").agg(F.count("*").alias("speakers"), cells.alias("cells"))
+
+
+def segment_range(spark, d):
+    return tn.segment_range(tn.turns(_lines(spark, d)))
+
+
+def file_overview(spark, d):
+    return tn.file_overview(_lines(spark, d))
+
+
+def overview_totals(spark, d):
+    return tn.overview_totals(tn.file_overview(_lines(spark, d)))
+
+
+def alias_resolution(spark, d):
+    names = table(spark, d, "speaker_aliases").select(F.upper(F.trim("raw_name")).alias("name"))
+    extra = spark.createDataFrame([(k,) for k in sorted(read_aliases())], "name string")
+    return sp.with_alias(names.unionByName(extra), "name").groupBy("name").agg(F.count("*").alias("n"))
+
+
+def resolved_speakers(spark, d):
+    mapping = table(spark, d, "speakers").select(F.col("speaker_name").alias("name"), "spk_id")
+    return sp.resolve(_texts(spark, d).where("raw_name is not null"), "raw_name", mapping).groupBy("raw_name", "spk_id", "mapped").agg(F.count("*").alias("turns"))
+
+
+def unmapped_speakers(spark, d):
+    return resolved_speakers(spark, d).where("not mapped").select("raw_name", "turns")
+
+
+def name_parts(spark, d):
+    raw = table(spark, d, "speaker_aliases").select("raw_name").where("raw_name is not null").distinct()
+    return raw.select("raw_name", nm.strip_titles(F.col("raw_name")).alias("stripped"), nm.speaker_type(F.col("raw_name")).alias("kind"),
+                      nm.consonant_key(F.col("raw_name")).alias("key"))
+
+
+def parsed_names(spark, d):
+    raw = table(spark, d, "speaker_aliases").select("raw_name").where("raw_name is not null").distinct()
+    p = nm.parse_name(F.col("raw_name"))
+    return raw.select("raw_name", p["first"].alias("first"), F.array_join(p["middles"], " ").alias("middles"), p["surname"].alias("surname"), nm.titles_of(F.col("raw_name")).alias("title"))
+
+
+def _names(spark, d):
+    return sp.names_of(tn.turns(_lines(spark, d)))
+
+
+def name_order(spark, d):
+    return _names(spark, d)
+
+
+def name_candidate_pairs(spark, d):
+    return sp.candidate_pairs(cut(sp.parsed_names(_names(spark, d)))).groupBy("name_a").agg(F.count("*").alias("candidates"))
+
+
+def speaker_clusters(spark, d):
+    return sp.clusters(_names(spark, d))
+
+
+def speaker_ids(spark, d):
+    return sp.speaker_ids(cut(sp.clusters(_names(spark, d))))
+
+
+def _job(mode: str, name: str) -> Query:
+    def run(spark, d):
+        if mode == "dedup":
+            return jobs.dedup_names(cut(tn.turns(_lines(spark, d))))[name]
+        if mode == "summary":
+            return jobs.summary(_lines(spark, d))[name]
+        turns = cut(_texts(spark, d).select("turn_id", "file_idx", "turn_idx", "raw_name", "body"))
+        mapping = table(spark, d, "speakers").select(F.col("speaker_name").alias("name"), "spk_id")
+        norm = jobs.normalise(turns, mapping)
+        if mode == "normalise":
+            return norm[name]
+        if mode == "review":
+            return jobs.align(turns, norm["v3"])[name]
+        v1 = norm["v1"].withColumnRenamed("spk_id", "raw_name")
+        return jobs.align(v1, norm["v3"], prepared=False)[name]
+
+    return run
+
+
+def dedup_mapping_ranked(spark, d):
+    totals = _names(spark, d)
+    return with_rank(totals, F.desc("words"), F.asc("name_ord")).select("rank", "name", "words")
+
+
+def ascii_folded(spark, d):
+    t = _texts(spark, d)
+    return t.select("turn_id", cl.ascii_fold(F.col("body")).alias("folded"), cl.pre_clean(F.col("body")).alias("pre"))
+
+
+def clean_v1(spark, d):
+    return _texts(spark, d).select("turn_id", cl.cleaned(F.col("body")).alias("v1"))
+
+
+def spoken_numbers(spark, d):
+    n = table(spark, d, "lineitem").select(F.col("l_partkey").alias("n")).union(
+        table(spark, d, "lineitem").select(F.floor("l_extendedprice").alias("n"))).distinct()
+    return n.select("n", nb.chunked(F.col("n")).alias("chunked"), nb.digits(F.col("n").cast("string")).alias("digits"),
+                    F.when(F.col("n") < 10000, nb.ordinal(F.col("n"))).alias("ordinal"), nb.cardinal(F.col("n")).alias("cardinal"))
+
+
+def spoken_items(spark, d):
+    text = F.concat(
+        F.lit("Rs "), F.floor("l_extendedprice").cast("string"), F.lit(" at "), F.round(F.col("l_discount") * 100).cast("bigint").cast("string"),
+        F.lit("% on "), F.date_format("l_shipdate", "dd/MM/yyyy"), F.lit(" for the "), F.col("l_linenumber").cast("string"), F.lit("th item at "),
+        F.date_format("l_shipdate", "HH:mm"))
+    return table(spark, d, "lineitem").select(text.alias("written")).distinct().select("written", spoken_form(F.col("written")).alias("spoken"))
+
+
+def spoken_events(spark, d):
+    e = F.col("event_id")
+    text = F.concat(
+        F.lit("["), F.upper("event_type"), F.lit("] page "), (1000 + e % 9000).cast("string"), F.lit(" Volume IV km "), (e % 400).cast("string"),
+        F.lit("km J&K A.K. in the "), (1900 + 10 * (e % 10)).cast("string"), F.lit("s"))
+    return table(spark, d, "events").select(e.alias("event_id"), cl.cleaned(text).alias("v1")).select("event_id", "v1", spoken_form(F.col("v1")).alias("v3"))
+
+
+def nsw_bracketed(spark, d):
+    return fq.nsw_frequency(_texts(spark, d).unionByName(table(spark, d, "transcript_original").select("line").distinct().select(
+        F.col("line").alias("body")), allowMissingColumns=True), "body").where("category = 'Bracketed'").select("token", "frequency")
+
+
+def nsw_frequency(spark, d):
+    return fq.nsw_frequency(table(spark, d, "documents").where("text is not null"), "text")
+
+
+def nsw_category_counts(spark, d):
+    return fq.category_counts(cut(nsw_frequency(spark, d)))
+
+
+def term_rank(spark, d):
+    n = table(spark, d, "term_freq").where("token is not null and frequency >= 1").groupBy("category", "token").agg(F.sum("frequency").alias("total"))
+    return with_rank(n, F.desc("total"), F.asc("category"), F.asc("token"))
+
+
+def term_category_totals(spark, d):
+    n = table(spark, d, "term_freq").where("token is not null and frequency >= 1").groupBy("category", "token").agg(F.sum("frequency").alias("frequency"))
+    return fq.category_counts(n, ("Word", *fq.CATEGORIES))
+
+
+def sentence_stats(spark, d):
+    return st.sentence_stats(st.sentences(_texts(spark, d), "body"))
+
+
+def sentence_categories(spark, d):
+    return st.sentence_categories(st.sentences(_texts(spark, d), "body"))
+
+
+def dotted_abbreviations(spark, d):
+    return st.dotted_abbreviations(_texts(spark, d), "body")
+
+
+def line_stream_statistics(spark, d):
+    return line_statistics(_lines(spark, d).where("loaded_at is not null"))
+
+
+def queries() -> dict[str, Query]:
+    plain = [
+        word_freq_tokens, word_freq_stripped, char_freq, turns_from_lines, noise_line_counts, speaker_file_words, speaker_file_matrix, segment_range,
+        file_overview, overview_totals, alias_resolution, resolved_speakers, unmapped_speakers, name_parts, parsed_names, name_order, name_candidate_pairs,
+        speaker_clusters, speaker_ids, dedup_mapping_ranked, ascii_folded, clean_v1, spoken_numbers, spoken_items, spoken_events, nsw_bracketed, nsw_frequency,
+        nsw_category_counts, term_rank, term_category_totals, sentence_stats, sentence_categories, dotted_abbreviations, line_stream_statistics,
+    ]
+    modes = {
+        "speaker_sheet": ("dedup", "speakers"), "speaker_matrix": ("dedup", "matrix"), "dedup_review": ("dedup", "dedup_review"), "noise_totals": ("summary", "noise_totals"),
+        "v1_turns": ("normalise", "v1"), "v3_turns": ("normalise", "v3"), "v3_word_frequency": ("normalise", "word_frequency"),
+        "review_changes": ("review", "changes"), "review_summary": ("review", "summary"), "review2_changes": ("review2", "changes"), "review2_summary": ("review2", "summary"),
+    }
+    return {f.__name__: f for f in plain} | {name: _job(*job) for name, job in modes.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
