@@ -282,8 +282,7 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     # letters that scanning takes apart also meet as one
     forms = forms.withColumn("joined", F.replace(F.replace(F.col("family"), F.lit("RN"), F.lit("M")), F.lit("VV"), F.lit("W")))
     left_out = F.array_union(*[F.when(F.length(c) >= 8, _holes(F.col(c), 2)).otherwise(_holes(F.col(c), 1)) for c in ("family", "joined")])
-    keyed = forms.where("kind <> 'R' and family <> ''").withColumn("hole", F.explode(left_out))
-    keyed = keyed.withColumn("tag", F.coalesce("tag", F.lit("\x02")))
+    keyed = cut(forms.where("kind <> 'R' and family <> ''").withColumn("hole", F.explode(left_out)).withColumn("tag", F.coalesce("tag", F.lit("\x02"))))
     # who may be the canonical form of whom: a fuller one, or an equally full one
     full = keyed.where("level >= 2").select("tag", "kind", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family", "joined", "titles")])
     initial = F.substring("given", 1, 1)
@@ -309,7 +308,7 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     by_letters = short.join(
         letters.where("level = 3 and letters <> ''").select("tag", "letters", F.col("form").alias("c_form"), F.col("n").alias("c_n")), ["tag", "letters"]
     ).select("form", "c_form", F.log("c_n").alias("posterior"))
-    best = scored.select("form", "c_form", "posterior").unionByName(by_letters).groupBy("form").agg(
+    best = cut(scored).select("form", "c_form", "posterior").unionByName(by_letters).groupBy("form").agg(
         F.max_by("c_form", F.struct("posterior", "c_form")).alias("c_form"))
     groups = connected_groups(cut(best), "form", "c_form")
     return parsed.join(groups, parsed["form"] == groups["id"], "left").select(
