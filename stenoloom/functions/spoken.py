@@ -102,7 +102,11 @@ def endings(text: Column) -> Column:
 
 
 def spoken_form(text: Column, table: list[Abbreviation] | None = None) -> Column:
-    """V3 of a V1 text; tags are taken out and what they part is spoken by itself; null stays null."""
+    """V3 of a V1 text; tags are taken out and what they part is spoken by itself; null stays null.
+
+    Give it a column and not the expression of :func:`cleaned`: each replacement with a made text
+    is one more level of lambdas for the analyzer, and both chains in one expression are too deep.
+    """
     table = read_abbreviations() if table is None else table
 
     def segment(t: Column) -> Column:

@@ -39,3 +39,10 @@ def running_total(df: DataFrame, group: str, page: str, line: str, value: Column
     pages = pages.select(group, "_block", page, upto([group, "_block"], page).alias("_pb")).join(blocks, [group, "_block"])
     out = rows.withColumn("_own", own).join(pages.select(group, page, (F.col("_pb") + F.col("_bb")).alias("_before")), [group, page])
     return out.withColumn(name, F.col("_own") + F.col("_before")).drop("_v", "_block", "_own", "_before")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for passes that cost much more
+    than reading; tables of many splits are left as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
