@@ -23,6 +23,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stenoloom.operators.order import spread
 from stenoloom.plans.durable import shared_file
 
 # Fixed value: how byte_bpe_50k splits a text into words (public byte-level BPE pattern).
@@ -195,7 +196,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
                     c.update(find(t))
             yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in c], pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
 
-    return docs.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return spread(docs.select(text)).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, text: str, ranks: dict[bytes, int], size: int = 60_000, longest: int = 40) -> Transducer:
@@ -267,4 +268,4 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: str, lexicon_size:
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=[key, "ids"])
 
     of_key = docs.select(key).schema[0].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {of_key}, ids array<int>")
+    return spread(docs.select(key, text)).mapInArrow(run, f"`{key}` {of_key}, ids array<int>")

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stenoloom.operators.order import spread
+
 # The two-letter codes of languages (ISO 639-1).
 CODES = frozenset(
     "aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu "
@@ -221,7 +223,7 @@ def stretches(docs: DataFrame, key: str, text: str, lang: str, sample: int = 200
 
     of_key = docs.select(key).schema[0].dataType.simpleString()
     schema = f"key {of_key}, label string, seg_no int, lang string, confidence double, n_sentences int, is_case boolean"
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text"), language_code(F.col(lang)).alias("label")).mapInArrow(
+    return spread(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), language_code(F.col(lang)).alias("label"))).mapInArrow(
         run, schema).withColumnRenamed("key", key)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stenoloom.llm.words import shingle_hashes, words
+from stenoloom.operators.order import spread
 from stenoloom.plans.durable import shared_file
 
 SHINGLE = 3
@@ -174,7 +175,7 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(own.keys[at].view(np.int64)), pa.array(total[at])], ["h", "n"])
 
-        df = docs.select(doc_text).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+        df = spread(docs.select(doc_text)).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
         index.rank({r["h"]: r["n"] for r in df.collect()})  # bounded by the shingles of one block of items
         ranked = shared_file(spark, index.dump(), "items")
         keys = spark.sparkContext.broadcast([r["k"] for r in rows])
@@ -191,7 +192,7 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
                     [batch.column(0).take(pa.array(doc, pa.int64())), pa.array(item, pa.from_numpy_dtype(np.int64) if of_item == "bigint" else None)],
                     [doc_key, item_key])
 
-        part = docs.where(F.col(doc_key).isNotNull()).select(doc_key, doc_text).mapInArrow(find, schema)
+        part = spread(docs.where(F.col(doc_key).isNotNull()).select(doc_key, doc_text)).mapInArrow(find, schema)
         out = part if out is None else out.unionByName(part)
     return out.distinct()
 

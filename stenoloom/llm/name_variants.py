@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stenoloom.llm.components import connected_groups
+from stenoloom.operators.order import spread
 from stenoloom.plans.durable import cut
 
 # Forms of address, which belong to no name.
@@ -271,7 +272,7 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
                 ["id", "tag", "kind", "level", "given", "family", "letters", "title"])
 
     of_key = names.select(key).schema[0].dataType.simpleString()
-    parsed = rows.mapInArrow(read, f"id {of_key}, tag string, kind string, level int, given string, family string, letters string, title string")
+    parsed = spread(rows).mapInArrow(read, f"id {of_key}, tag string, kind string, level int, given string, family string, letters string, title string")
     form = F.concat_ws("\x01", F.coalesce("tag", F.lit("\x02")), "kind", F.col("level").cast("string"), "given", "family", F.when(F.col("level") == 1, F.col("letters")).otherwise(""),
                        F.when(F.col("level") < 3, F.col("title")).otherwise(""))
     parsed = cut(parsed.withColumn("form", form))
