@@ -70,8 +70,8 @@ class ContextTree:
                 c = key[:-1]
                 self.bits[key] = log2((total[c] + distinct[c]) / n)
 
-    def length(self, tok: bytes) -> float:
-        """Exact code length of a word in bits."""
+    def length(self, tok: bytes, enough: float = float("inf")) -> float:
+        """Exact code length of a word in bits; any value above ``enough`` where it is above that."""
         bits, escape, out = self.bits, self.escape, 0.0
         for i in range(1, len(tok) + 1):
             end = tok[i : i + 1] or b" "
@@ -84,6 +84,8 @@ class ContextTree:
                 out += escape.get(c, 0.0)
             else:
                 out += 8.0
+            if out > enough:
+                break
         return out
 
 
@@ -94,15 +96,23 @@ class Models:
         self.languages = sorted(trees)
         self.trees = [trees[x] for x in self.languages]
         self.known: dict[bytes, np.ndarray] = {}
+        self.last = 0
 
     def lengths(self, tok: bytes) -> np.ndarray:
         v = self.known.get(tok)
         if v is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            v = np.array([t.length(tok) for t in self.trees])
-            # a stray character or a single foreign term weighs little against a sentence
-            v = np.minimum(v, v.min() + 4 + 4 * len(tok.decode()))
+            # a stray character or a single foreign term weighs little against a sentence: lengths
+            # count up to so much above the shortest, and need not be followed further
+            most = 4 + 4 * len(tok.decode())
+            v = np.empty(len(self.trees))
+            shortest = float("inf")
+            for i in (self.last, *(i for i in range(len(self.trees)) if i != self.last)):
+                v[i] = self.trees[i].length(tok, shortest + most)
+                if v[i] < shortest:
+                    shortest, self.last = v[i], i
+            v = np.minimum(v, shortest + most)
             if len(tok) <= 64:
                 self.known[tok] = v
         return v
