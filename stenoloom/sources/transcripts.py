@@ -105,3 +105,21 @@ def write_workbook(path: str, sheets: dict[str, DataFrame], most_rows: int = 1_0
         z.writestr("_rels/.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         z.writestr("xl/workbook.xml", f'<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>{"".join(names)}</sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{"".join(rels)}</Relationships>')
+
+
+def summary_text(tables: dict[str, DataFrame], fonts: DataFrame | None = None, most_fonts: int = 20) -> str:
+    """The summary mode as text: totals, noise by kind, and the first fonts in order of name.
+
+    ``tables`` are those of ``jobs.summary``; the table per file stays a table, as it has no bound.
+    """
+    total = tables["overview"].first()
+    out = ["OVERVIEW", *(f"{name:<14}{'' if total[name] is None else total[name]}" for name in tables["overview"].columns), "", "NOISE LINES"]
+    kinds = {r["kind"]: r["n"] for r in tables["noise_totals"].collect()}
+    out += [f"{kind:<14}{kinds[kind]}" for kind in sorted(kinds)] + [f"{'total':<14}{sum(kinds.values())}"]
+    if fonts is not None:
+        names = fonts.select(F.explode("fonts").alias("font")).distinct()
+        n = names.count()
+        out += ["", "FONTS", *(r["font"] for r in names.orderBy("font").limit(most_fonts).collect())]
+        if n > most_fonts:
+            out.append(f"... and {n - most_fonts} more")
+    return "\n".join(out) + "\n"

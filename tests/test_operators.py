@@ -13,7 +13,7 @@ from stenoloom.operators.order import running_total, with_rank
 from stenoloom.operators.review import align, review_rows, review_summary
 from stenoloom.operators.skew import lookup_join
 from stenoloom.plans import jobs
-from stenoloom.sources.transcripts import read_text_lines, text_turns, write_turns, write_workbook
+from stenoloom.sources.transcripts import read_text_lines, summary_text, text_turns, write_turns, write_workbook
 from stenoloom.streaming import line_statistics
 
 LINES = "file_idx int, page_idx int, line_no int, line string, loaded_at timestamp, turn_idx string"
@@ -128,3 +128,16 @@ def test_entry_without_llm():
     import __spark_entry__ as e
 
     assert len(e.queries()) > 40 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_summary_text(spark):
+    fonts = spark.createDataFrame([([f"F{k:02d} (9pt)" for k in range(25)],)], "fonts array<string>")
+    text = summary_text(jobs.summary(_lines(spark)), fonts)
+    assert "files         1" in text and "email         1" in text and "total         3" in text and "... and 5 more" in text
+    assert "words         " in summary_text(jobs.summary(_lines(spark).limit(0)))
+
+
+def test_entry_query(spark):
+    import __spark_entry__ as e
+
+    assert e.entry(spark).columns == ["word", "frequency", "rank"]
