@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stenoloom.llm.components import connected_groups
 from stenoloom.operators.order import spread
+from stenoloom.operators.skew import lookup_join
 from stenoloom.plans.durable import cut
 
 # Forms of address, which belong to no name.
@@ -312,8 +313,9 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     best = cut(scored).select("form", "c_form", "posterior").unionByName(by_letters).groupBy("form").agg(
         F.max_by("c_form", F.struct("posterior", "c_form")).alias("c_form"))
     groups = connected_groups(cut(best), "form", "c_form")
-    return parsed.join(groups, parsed["form"] == groups["id"], "left").select(
-        parsed["id"].alias(key), parsed["tag"].alias(tag), F.coalesce("group_id", "form").alias("entity"))
+    # one spelling may be typed in a third of all rows
+    found = lookup_join(parsed.select("id", "tag", "form"), groups.select(F.col("id").alias("form"), "group_id"), "form")
+    return found.select(F.col("id").alias(key), F.col("tag").alias(tag), F.coalesce("group_id", "form").alias("entity"))
 
 
 def name_pairs(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: str = "raw_name") -> DataFrame:
