@@ -37,10 +37,9 @@ _SCRIPTS = (("Deva", regex.compile(r"\p{Devanagari}")), ("Arab", regex.compile(r
 
 
 def _script(text: str) -> str:
-    """The first script in order of _SCRIPTS that has a fifth of the letters of the first 400 characters."""
-    head = text[:400]
-    letters = sum(c.isalpha() for c in head) or 1
-    return next((n for n, p in _SCRIPTS if len(p.findall(head)) * 5 >= letters), "Zyyy")
+    """The first script in order of _SCRIPTS that has a fifth of the letters of the whole text."""
+    letters = sum(c.isalpha() for c in text) or 1
+    return next((n for n, p in _SCRIPTS if sum(1 for _ in p.finditer(text)) * 5 >= letters), "Zyyy")
 
 
 def _norm(w: str) -> str:
@@ -199,7 +198,7 @@ class Splitter:
         """The model of a language, or of the language whose frequent words a text shares most."""
         if lang and lang in self.model:
             return self.model[lang]
-        words = Counter(w.lower() for w in _WORD.findall(text[:4000]))
+        words = Counter(m.group().lower() for m in _WORD.finditer(text))
         best, most = "", 0.0
         for code in sorted(self.model):
             if not code.startswith("und-"):

@@ -12,7 +12,7 @@ from stenoloom.llm.language_id import language_code, stretches, train, wrong_lab
 from stenoloom.llm.leakage import covered, leaks
 from stenoloom.llm.name_variants import Speller, name_groups, name_pairs, parse
 from stenoloom.llm.page_repair import Repairer, line_form, page_findings, page_number, page_paragraphs
-from stenoloom.llm.sentences import Splitter, learn, sentence_ends
+from stenoloom.llm.sentences import Splitter, count_events, learn, sentence_ends
 from stenoloom.llm.speaker_turns import Cast, join_captions, speaker_turns, split_label, spoken
 from stenoloom.llm.term_frequency import term_bitmaps, term_statistics
 
@@ -201,6 +201,16 @@ def test_sentences(spark):
     assert len(Splitter(learn(df, "t", "lang")).ends(long, None)) == 20000
 
 
+def test_language_of_long_texts(spark):
+    model = {"en": {"A": {"dr": (9.0, 0.0)}, "F": {w: (0.1, 0.0) for w in ("the", "was", "it", "so")}}, "fr": {"F": {w: (0.1, 0.0) for w in ("la", "cour", "est")}}}
+    opening, rest = "La cour est la cour. " * 250, "It was so the Dr. Rao it was. " * 600
+    assert len(opening) > 4000 and Splitter(model).of("", opening + rest) is model["en"]
+    assert len(Splitter(model).ends(opening + rest, None)) == 250 + 600
+    text = "HIGH COURT OF RECORD. " * 30 + "क्या यह ठीक है। " * 300
+    df = spark.createDataFrame([(text, None), (opening, "fr")], "t string, lang string")
+    assert len(text[: text.index("क")]) > 400 and {r.lang for r in count_events(df, "t", "lang").select("lang").distinct().collect()} == {"und-Deva", "fr"}
+
+
 # 8 encoding
 
 def test_encoding(spark):
