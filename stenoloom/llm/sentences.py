@@ -2,8 +2,8 @@
 
 Per language the whole collection gives: how often a word stands with and without a period,
 what follows it, and how words are written inside sentences.  From these come, by
-log-likelihood ratios, abbreviations, ordinal collocations ("8. Mai") and sentence starters;
-each period of a text is then classified by them.
+log-likelihood ratios, abbreviations, collocations around the period of a number, an initial or an
+abbreviation ("8. Mai", "v. The") and sentence starters; each period of a text is then classified by them.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def _events(text: str, lang: str, out: Counter) -> None:
     """Count into ``out`` the keys (lang, kind, word, next word, case of the next word).
 
     kind P: a word with a period (next: the word after it or '' where a line or the text ends);
-    N: a word without a period; M: N inside a sentence and written small; S: a word that certainly begins
+    N: a word without a period; M, C: a word inside a sentence, written small or with a capital; S: a word that certainly begins
     a sentence or line, that is not after a period, which may be an abbreviation's.
     """
     low, last_end, last_period, last = _starts_low(text), 0, False, ""
@@ -83,8 +83,8 @@ def _events(text: str, lang: str, out: Counter) -> None:
                     out[lang, "P", last, nxt, "?"] += 1
         if not last or "\n" in gap or any(c in gap for c in STRONG):
             out[lang, "S", n, "", ""] += 1
-        elif not last_period and not low and raw[0].islower():
-            out[lang, "M", n, "", ""] += 1
+        elif not last_period and not low and (raw[0].islower() or raw[0].isupper()):
+            out[lang, "M" if raw[0].islower() else "C", n, "", ""] += 1
         if not period:
             out[lang, "N", n, "", ""] += 1
         last, last_period, last_end = n, period and "..." not in text[m.end() - 2 : m.end() + 2], m.end()
@@ -125,7 +125,7 @@ def _llr(k1, n1, k2, n2):
 
 
 def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> dict:
-    """The statistics of each language: abbreviations, those that may end a sentence, ordinal
+    """The statistics of each language: abbreviations, those that may end a sentence,
     collocations, sentence starters, and frequent words (for texts without a language).
 
     All counts are over all texts.  ``model_size`` bounds each kind of entry per language, the
@@ -135,7 +135,7 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
     events = cut(count_events(docs, text, lang))
     by = ["lang", "word"]
     words = events.groupBy(*by).agg(*[
-        F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k.lower()) for k in "PNMS"])
+        F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k.lower()) for k in "PNMSC"])
     words = words.withColumn("total", F.col("p") + F.col("n"))
     size = words.groupBy("lang").agg(F.sum("total").alias("all_n"), F.sum("p").alias("all_p"), F.sum("s").alias("all_s"))
     words = words.join(F.broadcast(size), "lang")
@@ -160,11 +160,28 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
         F.max("score").alias("score"),
         F.when(caseless & (last > 0.05), F.lit(1.0)).otherwise(rate).alias("rate"),
         (F.sum(F.when(F.col("cas").isin("l", "d"), F.col("n")).otherwise(0)) / F.sum("n")).alias("goes_on"))
-    # a capitalised word that mostly comes after a number with a period belongs to it
-    dates = pairs.where((F.col("word") == _NUM) & (F.col("cas") == "u")).groupBy("lang", "nxt").agg(F.sum("n").alias("k")).join(
-        words.select("lang", F.col("word").alias("nxt"), "total", "all_n", "p"), ["lang", "nxt"]).where("k > 1 and k > 0.4 * total")
     starters = words.where((F.col("s") > 4) & (F.col("s") / F.col("total") > 2 * F.col("all_s") / F.col("all_n"))).withColumn(
-        "score", _llr(F.col("s"), F.col("total"), F.col("all_s") - F.col("s"), F.col("all_n") - F.col("total"))).where("score > 30")
+        "score", _llr(F.col("s"), F.col("total"), F.col("all_s") - F.col("s"), F.col("all_n") - F.col("total"))).where("score > 30").withColumn(
+        # how often it is written small inside sentences; names and nouns that begin many sentences are not
+        "small", F.col("m") / F.greatest(F.col("m") + F.col("c"), F.lit(1)))
+    # a capitalised word that follows the period of this number, initial or abbreviation more often than other periods
+    capital = pairs.where((F.col("cas") == "u") & (F.col("nxt") != "")).groupBy("lang", "word", "nxt").agg(F.sum("n").alias("k"))
+    kinds = enders.select(*by, F.col("rate").alias("may_end"))
+    first = starters.select("lang", F.col("word").alias("nxt"), F.lit(True).alias("first"))
+    small = words.where("m > c").select("lang", F.col("word").alias("nxt"), F.lit(True).alias("mostly_small"))
+    of_word = capital.groupBy(*by).agg(F.sum("k").alias("of_word"))
+    of_nxt = capital.groupBy("lang", "nxt").agg(F.sum("k").alias("of_nxt"))
+    of_all = capital.groupBy("lang").agg(F.sum("k").alias("of_all"))
+    collocations = capital.join(kinds, by, "left").where(
+        (F.col("k") > 1) & (F.col("may_end").isNotNull() | (F.col("word") == _NUM) | F.col("word").rlike(r"^\p{L}(\.\p{L})*$"))).join(
+        of_word, by).join(of_nxt, ["lang", "nxt"]).join(F.broadcast(of_all), "lang")
+    # numbers and abbreviations that may end sentences: only with a word that begins no sentences, elsewhere has its capital too
+    collocations = collocations.join(first, ["lang", "nxt"], "left").join(small, ["lang", "nxt"], "left")
+    others, elsewhere = F.col("of_nxt") - F.col("k"), F.col("of_all") - F.col("of_word")
+    collocations = collocations.where(F.col("k") * elsewhere > others * F.col("of_word")).withColumn(
+        "score", _llr(F.col("k"), F.col("of_word"), others, elsewhere)).where("score > 7.88").where(
+        ((F.col("word") != _NUM) & (F.coalesce("may_end", F.lit(0)) <= 0.3)) | (F.col("first").isNull() & F.col("mostly_small").isNull() & (F.col("k") > others))).select(
+        "lang", F.concat_ws(" ", "word", "nxt").alias("word"), "score")
     frequent = words.where(F.col("word") != _NUM).withColumn("score", F.col("total") / F.col("all_n"))
 
     def strongest(df: DataFrame, kind: str, score: str, most: int, rate: str = "cast(0 as double)") -> DataFrame:
@@ -176,7 +193,7 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
 
     model: dict = {}
     parts = [strongest(enders, "A", "score", model_size, "if(goes_on < 0.02 and rate > 0.3, 1.0, if(rate > 0.3, 0.5, 0.0))"),
-             strongest(dates.withColumnRenamed("nxt", "word"), "D", "k", model_size), strongest(starters, "S", "score", model_size),
+             strongest(collocations, "D", "score", model_size), strongest(starters, "S", "score", model_size, "small"),
              strongest(frequent, "F", "score", 150)]
     rows = parts[0]
     for x in parts[1:]:
@@ -213,7 +230,7 @@ class Splitter:
         if not text or text.isspace():
             return []
         m = self.of(_language(lang), text)
-        abbr, dates, starters = m.get("A", {}), m.get("D", {}), m.get("S", {})
+        abbr, pairs, starters = m.get("A", {}), m.get("D", {}), m.get("S", {})
         low, n = _starts_low(text), len(text)
         out: list[int] = []
         begin = 0
@@ -274,7 +291,7 @@ class Splitter:
             upto = e
             if mark[0] in "!?" and e < n and text[e].isalnum() and ord(text[e]) < 0x2E80:
                 continue
-            if mark[0] in ".…" and not self._period(text, begin, a, e, mark, abbr, dates, starters, low):
+            if mark[0] in ".…" and not self._period(text, begin, a, e, mark, abbr, pairs, starters, low):
                 continue
             close(e)
         close(n)
@@ -296,7 +313,7 @@ class Splitter:
         return low or not after[0].islower()
 
     @staticmethod
-    def _period(text, begin, a, e, mark, abbr, dates, starters, low) -> bool:
+    def _period(text, begin, a, e, mark, abbr, pairs, starters, low) -> bool:
         """Whether the period or ellipsis at ``a``..``e`` ends a sentence."""
         rest = text[e : e + 80]
         after = rest.lstrip()
@@ -315,17 +332,19 @@ class Splitter:
         if after[0] in ",;:":
             return False
         p = _norm(prev)
+        joined = f"{p} {w}" in pairs
         if p == _NUM:
-            return w not in dates
+            return not joined
+        # a capitalised starter begins a sentence after an abbreviation or initial, unless it belongs to it or is an initial itself
+        begins = not low and word[:1].isupper() and not joined and starters.get(w, (0, 0))[1] >= 0.5 and not (
+            len(word) == 1 and after[nxt.end() : nxt.end() + 1] == ".")
         initials = bool(prev) and all(len(x) == 1 and x.isupper() for x in prev.split("."))
         if p in abbr:
             ends = abbr[p][1]
             if ends >= 0.5:
-                return (low and (w in starters or ends == 1.0)) or not after[0].islower()
-            if initials or not word:
-                return False
-            return False
-        return not initials
+                return (low and (w in starters or ends == 1.0)) or not after[0].islower() and not joined
+            return begins
+        return not initials or begins
 
 
 def sentence_ends(docs: DataFrame, key: str, text: str, lang: str, model: dict | None = None) -> DataFrame:

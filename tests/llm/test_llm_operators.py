@@ -201,6 +201,17 @@ def test_sentences(spark):
     assert len(Splitter(learn(df, "t", "lang")).ends(long, None)) == 20000
 
 
+def test_starters_and_collocations(spark):
+    names = ["Rao", "Sen", "Pal", "Das", "Kelso", "Borv", "Talm", "Dran"]
+    data = [f"The day was long! The man saw the house and Dr. {a} saw the man? He sat with J. {b} as he had to. It was so. Then {a} left us at the house. All was well" for a in names for b in names]
+    data += [f"We read Sen v. The Crown of {a} and the rest" for a in names] * 2 + [f"We read Sen v. {a} and the rest" for a in names] * 6 + [f"It fell on 8. Brumaire in the year {a}! In Brumaire the days in Brumaire and in Brumaire are cold" for a in names]
+    odd = ["We chose plan B. The man left.", "He is a good Dr. The man left.", "We met J. A. Rao. He left.", "We met Dr. Kelso. He left.", "It was Pal v. The Crown. He left.", "We met J. Talm. He left.", "It is 7. Brumaire.", "It has 7. The man left."]
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(data + odd)], "k int, t string, lang string")
+    split = Splitter(learn(df, "t", "lang"))
+    assert [len(split.ends(t, "en")) for t in odd] == [2, 2, 2, 2, 2, 2, 1, 2]
+    assert {"v the", "## brumaire"} <= set(split.model["en"]["D"]) and not {"dr the", "## the"} & set(split.model["en"]["D"])
+
+
 def test_language_of_long_texts(spark):
     model = {"en": {"A": {"dr": (9.0, 0.0)}, "F": {w: (0.1, 0.0) for w in ("the", "was", "it", "so")}}, "fr": {"F": {w: (0.1, 0.0) for w in ("la", "cour", "est")}}}
     opening, rest = "La cour est la cour. " * 250, "It was so the Dr. Rao it was. " * 600
