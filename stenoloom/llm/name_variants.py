@@ -231,6 +231,25 @@ def _holes(word, most: int):
     return F.array_distinct(F.concat(F.array(word), one, two))
 
 
+def near_given(forms: DataFrame, known: DataFrame) -> DataFrame:
+    """(tag, kind, given, c_given, d): given names of a tag that the prior leaves alone, and those they
+    may have come from, ``d`` edits away.
+
+    The channel of :class:`Speller` over the rows of all given names, whatever their number; that the
+    family name meets too counts 1.6 against the 2.2 of an edit.  ``known`` has the words of the prior: they are names.
+    """
+    count = forms.groupBy("kind", "given").agg(F.sum("n").alias("rows"))
+    given = forms.select("tag", "kind", "given").distinct().where(F.length("given") >= 3).join(count, ["kind", "given"])
+    given = cut(given.withColumn("hole", F.explode(F.when(F.length("given") >= 6, _holes(F.col("given"), 2)).otherwise(_holes(F.col("given"), 1)))))
+    own = given.join(F.broadcast(known), "given", "left_anti")
+    d = F.levenshtein("given", "c_given")
+    turned = F.array_join(F.array_sort(F.split("given", "")), "") == F.array_join(F.array_sort(F.split("c_given", "")), "")
+    d = F.when(turned & (d == 2), 1).otherwise(d)
+    pairs = own.join(given.select("tag", "kind", "hole", F.col("given").alias("c_given"), F.col("rows").alias("c_rows")), ["tag", "kind", "hole"])
+    return pairs.where("given <> c_given").select("tag", "kind", "given", "c_given", "rows", "c_rows", d.alias("d")).distinct().where(
+        (F.col("d") <= F.when(F.length("given") >= 6, 2).otherwise(1)) & (F.log("c_rows") - 2.2 * F.col("d") + 1.6 >= F.log("rows"))).drop("rows", "c_rows")
+
+
 def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: str = "raw_name") -> DataFrame:
     """(key, tag, entity): the entity that each typed name means, within its tag.
 
@@ -246,7 +265,8 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
 
     Forms meet by their family name with up to two letters left out, together with the tag and,
     where both have one, the given name or initial, so a tag of any size is spread over as many
-    keys as it has names.  Numbered counsel and other roles are linked only where they are equal.
+    keys as it has names.  Given names outside the prior also meet near ones of their tag
+    (:func:`near_given`), and by given and family name written as one, with one letter left out.  Numbered counsel and other roles are linked only where they are equal.
 
     Names that are null, blank or without letters belong to no entity and are left out, as are
     rows without key; a null tag is a tag of its own; repeated rows count once; other columns
@@ -254,7 +274,8 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     """
     spark = names.sparkSession
     rows = names.select(F.col(key).alias("id"), F.col(tag).alias("tag"), F.col(raw).alias("raw")).where("id is not null and raw is not null").distinct()
-    shared = spark.sparkContext.broadcast(known_words(rows, "raw", "tag"))
+    words = known_words(rows, "raw", "tag")
+    shared = spark.sparkContext.broadcast(words)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(shared.value)
@@ -293,14 +314,32 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     by_initial = keyed.where("level = 2").withColumn("i", initial).join(
         full.withColumn("i", F.substring("c_given", 1, 1)), ["tag", "kind", "hole", "i"])
     bare = keyed.where("level = 1").join(full, ["tag", "kind", "hole"])
-    cols = ["form", "n", "level", "family", "titles", "c_titles", "c_form", "c_n", "c_level", "c_family", "joined", "c_joined"]
-    pairs = same_given.select(cols).unionByName(by_initial.select(cols)).unionByName(bare.select(cols)).where("form <> c_form").distinct()
-    d = F.least(F.levenshtein("family", "c_family"), F.levenshtein("joined", "c_joined"))
+    # given names outside the prior: near ones of the tag, and given and family name parted elsewhere or not at all
+    tagged = forms.where("kind <> 'R' and family <> ''").withColumn("tag", F.coalesce("tag", F.lit("\x02")))
+    near_names = cut(near_given(tagged.where("level = 3"), spark.createDataFrame([(w,) for w in sorted(words)], "given string")))
+    other_given = keyed.where("level = 3").join(near_names.withColumnRenamed("d", "given_edits"), ["tag", "kind", "given"]).join(
+        full.where("c_level = 3"), ["tag", "kind", "hole", "c_given"])
+    whole = tagged.where("kind = 'P' and level <> 2").withColumn("whole", F.concat("given", "family"))
+    whole = cut(whole.where(F.length("whole") >= 8).withColumn("hole", F.explode(_holes(F.col("whole"), 1))))
+    parted = whole.join(
+        whole.where("level = 3").select("tag", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family", "joined", "titles", "whole")]),
+        ["tag", "hole"]).where((F.col("given") != F.col("c_given")) & (F.length("family") != F.length("c_family")))
+    parted = parted.join(F.broadcast(spark.createDataFrame([(w,) for w in sorted(words)], "given string")), "given", "left_anti")
+    parted = parted.withColumn("whole_edits", F.levenshtein("whole", "c_whole")).where("whole_edits <= 1")
+    cols = ["form", "n", "level", "family", "titles", "c_titles", "c_form", "c_n", "c_level", "c_family", "joined", "c_joined", "given_edits", "whole_edits"]
+    none = F.lit(None).cast("int")
+    pairs = same_given.withColumns({"given_edits": F.lit(0), "whole_edits": none}).select(cols)
+    for x in (by_initial.withColumns({"given_edits": F.lit(0), "whole_edits": none}), bare.withColumns({"given_edits": F.lit(0), "whole_edits": none}),
+              other_given.withColumn("whole_edits", none), parted.withColumn("given_edits", F.lit(0))):
+        pairs = pairs.unionByName(x.select(cols))
+    pairs = pairs.where("form <> c_form").distinct()
+    d = F.coalesce("whole_edits", F.least(F.levenshtein("family", "c_family"), F.levenshtein("joined", "c_joined")))
     swapped = F.array_join(F.array_sort(F.split("family", "")), "") == F.array_join(F.array_sort(F.split("c_family", "")), "")
     near = (d <= 1) | ((d <= 2) & ((F.least(F.length("family"), F.length("c_family")) >= 6) | swapped))
     rank = F.struct("c_level", "c_n"), F.struct("level", "n")
     fuller = (rank[0] > rank[1]) | ((rank[0] == rank[1]) & (F.col("c_form") < F.col("form")))
-    cost = F.lit(3.0) * d + F.when(F.col("level") == 2, 4.0).when(F.col("level") == 1, 6.0).otherwise(0.0)
+    missing = F.when(F.col("whole_edits").isNotNull(), 0.0).when(F.col("level") == 2, 4.0).when(F.col("level") == 1, 6.0).otherwise(0.0)
+    cost = F.lit(3.0) * (d + F.col("given_edits")) + missing
     # the form of address tells persons of one family name apart
     address = F.when(F.arrays_overlap("titles", "c_titles"), 2.0).when((F.size("titles") > 0) & (F.size("c_titles") > 0), -2.0).otherwise(0.0)
     scored = pairs.where(near & fuller).withColumn("posterior", F.log("c_n") - cost + address + F.when(F.col("c_level") == 3, 1.0).otherwise(0.0))

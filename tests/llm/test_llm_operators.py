@@ -132,6 +132,17 @@ def test_name_variants(spark):
     assert parse("PETITIONER'S COUNSEL 3", Speller({}))[0] == "R" and parse("  ", Speller({})) is None
 
 
+def test_given_names_outside_the_prior(spark):
+    same = [["JADWIGA KELSOWICK", "MS. JADWIGA KELSOWICK", "Jadwiga Kelsowick", "JADWGA KELSOWICK", "JADIWGA KELSOWICK", "JADWIGA KELSOWCK", "JADWGA KELSOWCK", "JAD WIGA KELSOWICK", "JADWIGAKELSOWICK"],
+            ["ZBIGNIEW BORVAMERE", "MR ZBIGNIEW BORVAMERE", "ZBIGNEIW BORVAMERE"], ["TEODORA BORVAMERE", "MS TEODORA BORVAMERE"], ["THEODORE BORVAMERE", "MR THEODORE BORVAMERE"]]
+    data = [(10 * i + k, "a", x) for i, names in enumerate(same) for k, x in enumerate(names)] + [(90, "b", "JADWIGA TALMOTRA"), (91, "b", "JADWIGA KELSOWICK")]
+    df = spark.createDataFrame(data, "name_id bigint, tag string, raw_name string")
+    got = {}
+    for r in name_groups(df).collect():
+        got.setdefault(r.entity, set()).add(r.name_id)
+    assert {frozenset(v) for v in got.values()} == {frozenset(10 * i + k for k in range(len(x))) for i, x in enumerate(same)} | {frozenset({90}), frozenset({91})}
+
+
 # 5 components
 
 @pytest.mark.parametrize("seed", [1, 2])
