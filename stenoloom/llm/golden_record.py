@@ -1,4 +1,4 @@
-"""Best representative of each duplicate group: whole bundles chosen by branch and bound."""
+"""Best representative of each duplicate group: name and parts that agree, and whole count figures."""
 
 from __future__ import annotations
 
@@ -26,16 +26,15 @@ def golden_records(records: DataFrame, max_words: int = 50_000_000) -> DataFrame
     Out come grp, speaker_name, title, first_name, middle_name, surname, total_words,
     file_count, shortest_segment, longest_segment, n_records (distinct ones).
 
-    The name bundle is (speaker_name and the parts); the dependency speaker_name -> parts has
-    to hold: a spelling is feasible when none of its written-out words contradicts the group's
-    trusted parts, which are voted field by field, reviewed records first.  Branch and bound
-    over the distinct spellings: the bound of a spelling is the number of parts it could write
-    out at best (its undamaged words, title included), the incumbent is the fullest feasible
-    spelling found so far in its group, and only spellings whose bound reaches it are compared
-    in full by trust: feasible words written out, reviewed, agreement of every voted part, number
-    of records, latest time, and last the text later in
-    order.  A name without any feasible spelling
-    falls back to the fullest undamaged one, and to null when there is none.
+    The name bundle is (speaker_name and the parts).  A spelling is feasible when it writes out one of
+    the parts voted in its group (field by field, reviewed records first) and contradicts none: a
+    voted first name, middle name or surname that it lacks must not have another word in its place.
+    The greatest feasible spelling is taken, by words written out (title included), reviewed,
+    agreement of the voted parts, number of records, latest time, and last the text later in
+    order; this is one maximum per group.  A name without any feasible spelling falls back to the
+    fullest undamaged one, and to null when there is none.  Each part is then the best voted value
+    among those written out in the chosen name, and where it writes out none, among all; parts may
+    come from several records, as each record has gaps.
 
     The count bundle (total_words with the figures of the same record) is taken whole from the
     record with the latest usable count: positive and at most ``max_words``; a count without
@@ -59,7 +58,9 @@ def golden_records(records: DataFrame, max_words: int = 50_000_000) -> DataFrame
         F.max(F.coalesce("reviewed", F.lit(0))).alias("rev"), F.count("*").alias("n"), F.max("updated_at").alias("at"))
     voted = rows.select(*key, F.coalesce("reviewed", F.lit(0)).alias("rev"), F.explode(F.array(*[
         F.struct(F.lit(p).alias("part"), F.upper(F.trim(F.col(p))).alias("value")) for p in PARTS])).alias("x"),
-    ).where("x.value <> ''").groupBy(*key, "x.part", "x.value").agg(F.struct(F.max("rev"), F.count("*")).alias("votes")).groupBy(*key).agg(*[
+    ).where("x.value <> ''").groupBy(*key, "x.part", "x.value").agg(F.struct(F.max("rev"), F.count("*")).alias("votes"))
+    values = cut(voted)
+    voted = values.groupBy(*key).agg(*[
         F.max(F.when(F.col("part") == p, F.struct("votes", "value"))).getField("value").alias(p) for p in PARTS])
 
     # bound: words that may be parts; the title counts as one of them
@@ -71,21 +72,33 @@ def golden_records(records: DataFrame, max_words: int = 50_000_000) -> DataFrame
     joined = lookup_join(cut(spelled.withColumn("k", F.concat_ws("\x01", "g0", "g"))), voted.select(F.concat_ws("\x01", "g0", "g").alias("k"), *PARTS), "k")
     parts = F.array_compact(F.array("first_name", "middle_name", "surname"))
     agreed = F.size(F.array_intersect("full", parts))
-    feasible = (F.size(parts) == 0) | (agreed > 0)
-    value = F.when(feasible, F.col("bound"))
-    best = joined.groupBy("k").agg(F.max(value).alias("incumbent"))
-    survivors = lookup_join(cut(joined.withColumn("ok", feasible).withColumn("agreed", agreed)), best, "k").where(
-        "incumbent is null or (ok and bound >= incumbent)")
+    part_words = _words(F.concat_ws(" ", "first_name", "middle_name", "surname"))
+    size = F.size("full")
+
+    def contradicted(part: str, at) -> F.Column:
+        """Whether the voted part is not written out and one of the words ``at`` its place is of no voted part."""
+        return F.coalesce((F.size(F.array_except(_words(F.col(part)), "full")) > 0) & (F.size(F.array_except(at, part_words)) > 0), F.lit(False))
+
+    wrong = contradicted("surname", F.slice("full", F.greatest(size, F.lit(1)), F.lit(1))) | contradicted(
+        "first_name", F.slice("full", F.lit(1), F.when(size >= 2, 1).otherwise(0))) | contradicted(
+        "middle_name", F.slice("full", F.lit(2), F.greatest(size - 2, F.lit(0))))
     trust = F.struct(
-        "bound", "rev", "agreed", F.expr("int(titled and words[0] = regexp_replace(title, '[.]+$', ''))").alias("title_ok"),
+        "ok", "bound", "rev", "agreed", F.expr("int(titled and words[0] = regexp_replace(title, '[.]+$', ''))").alias("title_ok"),
         "n", "at")
-    top = survivors.groupBy("g", "g0").agg(F.max(F.struct(trust.alias("trust"), "speaker_name")).alias("name"))
+    top = cut(joined.withColumn("ok", ((F.size(parts) == 0) | (agreed > 0)) & ~wrong).withColumn("agreed", agreed).groupBy("g", "g0").agg(
+        F.max(F.struct(trust.alias("trust"), "speaker_name", "words")).alias("name")))
+
+    # of the values of a part those written out in the chosen name come first
+    named = lookup_join(values.withColumn("k", F.concat_ws("\x01", "g0", "g")), top.select(F.concat_ws("\x01", "g0", "g").alias("k"), "name.words"), "k")
+    own = F.coalesce(F.size(F.array_except(_words(F.regexp_replace("value", r"[.,]+$", "")), "words")) == 0, F.lit(False))
+    kept = named.withColumn("own", own).groupBy(*key).agg(*[
+        F.max(F.when(F.col("part") == p, F.struct("own", "votes", "value"))).getField("value").alias(p) for p in PARTS])
 
     usable = (F.col("total_words") > 0) & (F.col("total_words") <= max_words)
     counts = rows.groupBy(*key).agg(
         F.count("*").alias("n_records"),
         F.max(F.when(usable, F.struct("updated_at", "total_words", "file_count", "shortest_segment", "longest_segment"))).alias("c"))
-    out = counts.join(top, key, "left").join(voted, key, "left")
+    out = counts.join(top, key, "left").join(kept, key, "left")
     return out.select(
         F.when(~F.col("g0"), F.col("g")).alias("grp"), F.col("name.speaker_name").alias("speaker_name"),
         *[F.col(p) for p in PARTS], F.col("c.total_words").alias("total_words"), F.col("c.file_count").alias("file_count"),

@@ -90,6 +90,14 @@ def test_golden_records(spark):
     assert golden_records(df.limit(0)).count() == 0
 
 
+def test_name_and_parts_agree(spark):
+    r = lambda k, g, name, first, middle, last, rev: (k, g, name, None, first, middle, last, 5, 1, 1, 9, rev, None, "x", 1)
+    data = [r(1, "a", "DR. IVAN LEO KELSO", None, "LEO", "KELSO", 0), r(2, "a", "DR. IVAN LEO KELSO", "IVAN", None, "KELSO", 0), r(3, "a", "DR. OSKAR LEO KELSO", None, None, "KELSO", 1), r(4, "a", "DR. IVAN KELSO", "IVAN", None, None, 0),
+            r(5, "b", "NORA MEERA RAO", "NORA", "MEERA", None, 0), r(6, "b", "NORA MEERA RAO", "NORA", None, "RAO", 0), r(7, "b", "NORA RAO", "NORAH", None, "RAO", 1)]
+    got = rows(golden_records(spark.createDataFrame(data, REC)).select("grp", "speaker_name", "first_name", "middle_name", "surname"))
+    assert got == [("a", "DR. IVAN LEO KELSO", "IVAN", "LEO", "KELSO"), ("b", "NORA MEERA RAO", "NORA", "MEERA", "RAO")]
+
+
 # 3 term frequency
 
 TF = "file_idx int, category string, token string, frequency bigint, loaded_at string, block int, bits int"
