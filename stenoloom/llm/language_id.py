@@ -16,7 +16,7 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stenoloom.operators.order import spread
@@ -185,17 +185,41 @@ def train(rows: list[tuple[str, str]]) -> dict[str, ContextTree]:
     return trees([r for r in kept if r[0] in good] or rows)
 
 
+def _pieces(text: str, longest: int) -> Iterator[str]:
+    """A text in pieces of whole sentences of at most ``longest`` characters (words, where a sentence is longer)."""
+    at = 0
+    while len(text) - at > longest:
+        part = text[at : at + longest]
+        end = 1 + max(part.rfind(c) for c in ".!?؟。！？।\n")
+        end = end or 1 + max(part.rfind(c) for c in " \t") or longest
+        yield text[at : at + end]
+        at += end
+    yield text[at:]
+
+
 def training_rows(docs: DataFrame, text: str, lang: str, sample: int = 200, longest: int = 20_000) -> list[tuple[str, str]]:
-    """A bounded sample of the labelled rows: about ``sample`` of each code, chosen by a hash of
-    the text, from rows of at most ``longest`` characters (at most three times as many come to the driver)."""
-    labelled = docs.select(F.col(text).alias("t"), language_code(F.col(lang)).alias("c")).where(
-        F.col("c").isNotNull() & F.col("t").rlike(r"\p{L}") & (F.length("t") <= longest))
-    n = {r["c"]: r["count"] for r in labelled.groupBy("c").count().collect()}
+    """A bounded sample of the labelled texts: about ``sample`` distinct ones of each code, chosen by a hash
+    of the text, three times as many of a code at most; texts above ``longest`` characters go in as pieces."""
+    labelled = docs.select(F.col(text).alias("t"), language_code(F.col(lang)).alias("c")).where(F.col("c").isNotNull() & F.col("t").rlike(r"\p{L}"))
+
+    def cut_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                parts = list(_pieces(t, longest))
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array([c] * len(parts), pa.string())], ["t", "c"])
+
+    long = labelled.where(F.length("t") > longest).mapInArrow(cut_long, "t string, c string").where(F.col("t").rlike(r"\p{L}"))
+    labelled = labelled.where(F.length("t") <= longest).unionByName(long)
+    h = F.xxhash64("t")
+    n = {r["c"]: r["count"] for r in labelled.select("c", h.alias("h")).distinct().groupBy("c").count().collect()}
     if not n:
         return []
     share = F.create_map(*[x for c, k in sorted(n.items()) for x in (F.lit(c), F.lit(min(1.0, sample / k)))])
-    at = F.pmod(F.xxhash64("t"), F.lit(1 << 20)) / float(1 << 20)
-    some = labelled.where(at < share[F.col("c")]).orderBy("c", F.xxhash64("t", F.lit(1)), "t").limit(3 * sample * len(n))
+    at = F.pmod(h, F.lit(1 << 20)) / float(1 << 20)
+    # the filter leaves some ``sample`` distinct texts of a code, so a code's window is small
+    some = labelled.where(at < share[F.col("c")]).distinct()
+    order = Window.partitionBy("c").orderBy(F.xxhash64("t", F.lit(1)), "t")
+    some = some.withColumn("k", F.row_number().over(order)).where(F.col("k") <= 3 * sample).orderBy("c", "k")
     return [(r["c"], r["t"]) for r in some.collect()]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stenoloom.llm.bpe_lexicon import Transducer, encode, merge, read_ranks
 from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
-from stenoloom.llm.language_id import language_code, stretches, train, wrong_labels
+from stenoloom.llm.language_id import language_code, stretches, train, training_rows, wrong_labels
 from stenoloom.llm.leakage import covered, leaks
 from stenoloom.llm.name_variants import Speller, name_groups, name_pairs, parse
 from stenoloom.llm.page_repair import Repairer, line_form, page_findings, page_number, page_paragraphs
@@ -323,3 +323,11 @@ def test_languages(spark):
     assert sum(models.best(t) == c for c, t in held) == len(held)  # held-out accuracy
     codes = spark.createDataFrame([("En",), ("en-001",), ("pt_BR",), ("xx",), ("unknown",), ("",), (None,)], "l string").select(language_code(F.col("l")).alias("c")).collect()
     assert [r.c for r in codes] == ["en", "en", "pt", None, None, None, None]
+
+
+def test_every_language_has_a_sample(spark):
+    # one text fills the table of "en" and is in its share; "pt" is in long texts only; copies do not crowd out "zh"
+    data = [("the court heard the evidence", "en")] * 900 + [(TEXT["fr"] + f" {k}", "fr") for k in range(5)] + [("o tribunal ouviu a prova. " * 1000, "pt"), ("法院听取了证据", "zh")]
+    got = training_rows(spark.createDataFrame(data, "t string, lang string"), "t", "lang", sample=20)
+    assert {c: sum(x == c for x, _ in got) for c in ("en", "fr", "pt", "zh")} == {"en": 1, "fr": 5, "pt": 2, "zh": 1}
+    assert all(len(t) <= 20_000 and t.strip().endswith(".") for c, t in got if c == "pt")
