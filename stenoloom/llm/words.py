@@ -1,4 +1,4 @@
-"""Words of texts in any script, and hashes of their shingles."""
+"""Words of texts in any script, and their hashes."""
 
 from __future__ import annotations
 
@@ -22,15 +22,16 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def shingle_hashes(tokens: list[str], size: int) -> np.ndarray:
-    """64-bit hash of every run of ``size`` words, in order; empty for shorter texts."""
-    n = len(tokens) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.array([_hash(w) for w in tokens], np.uint64)
-    out = np.zeros(n, np.uint64)
+def word_hashes(tokens: list[str]) -> np.ndarray:
+    """64-bit hash of every word, in order."""
+    return np.array([_hash(w) for w in tokens], np.uint64)
+
+
+def combined(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash for every row of hashes in ``columns``; their order counts."""
+    out = np.zeros(len(columns[0]), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(size):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+        for h in columns:
+            out = out * np.uint64(0x9E3779B97F4A7C15) + h
             out ^= out >> np.uint64(29)
     return out

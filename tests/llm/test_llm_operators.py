@@ -9,7 +9,7 @@ from stenoloom.llm.bpe_lexicon import Transducer, encode, merge, read_ranks
 from stenoloom.llm.components import connected_groups
 from stenoloom.llm.golden_record import golden_records
 from stenoloom.llm.language_id import language_code, stretches, train, training_rows, wrong_labels
-from stenoloom.llm.leakage import covered, leaks
+from stenoloom.llm.leakage import leaks, longest_passage, passage_words
 from stenoloom.llm.name_variants import Speller, name_groups, name_pairs, parse
 from stenoloom.llm.page_repair import Repairer, line_form, page_findings, page_number, page_paragraphs
 from stenoloom.llm.sentences import Splitter, count_events, learn, sentence_ends
@@ -289,9 +289,38 @@ def test_leaks(spark):
     for block in (5, 100):
         assert {tuple(r) for r in leaks(d, "doc_id", "text", i, "item_id", "text", block=block).collect()} == want
     assert leaks(d.limit(0), "doc_id", "text", i, "item_id", "text").count() == 0 and leaks(d, "doc_id", "text", i.limit(0), "item_id", "text").count() == 0
-    import numpy as np
 
-    assert covered(np.array([0, 1, 2]), 10) == 5 and covered(np.array([0, 4]), 10) == 7 and covered(np.array([0, 15]), 30) == 3
+
+def test_connected_passages(spark):
+    rnd = random.Random(11)
+    new = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    phrase = "please take the {} first and then come to the {} why was the {} kept out of the {}".split()
+    docs, items, want = [], {}, set()
+    for k, m in enumerate([40, 100, 200] * 3):
+        w = items[k] = new(m)
+        q = m // 4
+        third = [x if i % 3 != 2 else f"x{i}" for i, x in enumerate(w)]
+        put_in = [y for i, x in enumerate(w) for y in ((x, f"x{i}") if i % 3 == 2 else (x,))]
+        left_out = [x for i, x in enumerate(w) if i % 4 != 3]
+        marks = [y for i, x in enumerate(w) for y in ((x, "[00:01:02,500]", "(door slams)", "um,") if i % 5 == 4 else (x,))]
+        pieces, swapped, turned = w[:q] + new(q) + w[q : 2 * q], w[: q] + new(4) + w[q + 4 : 2 * q + 4], w[q : 2 * q] + w[:q]
+        apart_in_item = w[:q] + w[2 * q : 3 * q]
+        for leaked, text in ((1, third), (1, put_in), (1, left_out), (1, marks), (1, w[q : 3 * q]), (0, w[q : 3 * q - 2]), (0, pieces), (0, swapped), (0, turned), (0, apart_in_item)):
+            docs.append((len(docs), " ".join(new(rnd.randrange(60)) + text + new(rnd.randrange(60)))))
+            if leaked:
+                want.add((len(docs) - 1, k))
+    items[20] = [x.format(f"n{i}") for i, x in enumerate(phrase)] + new(len(phrase))  # the turns of phrase alone are no half
+    docs += [(1000 + i, " ".join(new(5) + [x.format(rnd.random()) for x in phrase] + new(5))) for i in range(50)]
+    items |= {30: ["mens", "rea"], 31: ["estoppel"], 32: ["res", "ipsa", "loquitur", "est"]}  # short ones stand whole
+    docs += [(2000, "the Mens-Rea is"), (2001, "rea mens"), (2002, "ESTOPPEL"), (2003, "res ipsa loquitur"), (2004, "so: res, ipsa loquitur est")]
+    want |= {(2000, 30), (2002, 31), (2004, 32)}
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("_item", F.lit(0))
+    i = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    for block in (100, 10**6):
+        assert {tuple(r) for r in leaks(d, "doc_id", "text", i, "item_id", "text", block=block).collect()} == want
+    # brute force: every item against every text, without seeds, prefix or bounds
+    brute = {(k, x) for k, t in docs for x, w in items.items() if len(w) > 4 and longest_passage(passage_words(" ".join(w)), passage_words(t)) * 2 >= len(passage_words(" ".join(w)))}
+    assert brute == {(k, x) for k, x in want if x < 30}
 
 
 # 10 languages
