@@ -19,10 +19,10 @@ ROLES = (
     "ADVOCATE", "COUNSEL", r"PETITIONER'S COUNSEL(?: \d*)?", r"RESPONDENT'S COUNSEL(?: \d*)?", "CLAIMANT'S COUNSEL", "NODAL COUNSEL",
     "COURT MASTER", "BENCH", "COURT", "INTERPRETER", "REGISTRAR", "AMICUS", "JUDGE", "JUSTICE", "SPEAKER",
 )
-_TITLE = r"(?U)^(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")\b\.?+\s*+(?=\S)"
+_ONE = "(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")\b\.?+\s*+"
+#: All titles one after another, but for what would leave nothing.
+_LEADING = rf"(?U)^(?:{_ONE}(?=\S))++"
 _ROLE = "^(?:" + "|".join(ROLES) + ")$"
-#: Titles one after another that are taken off.
-MOST_TITLES = 4
 
 
 def upper_trim(raw: Column) -> Column:
@@ -39,19 +39,14 @@ def speaker_type(raw: Column) -> Column:
 
 def strip_titles(raw: Column) -> Column:
     """Capitals without leading titles (kept where nothing would be left) and dots."""
-    name = upper_trim(raw)
-    for _ in range(MOST_TITLES):
-        name = F.regexp_replace(name, _TITLE, "")
+    name = F.regexp_replace(upper_trim(raw), _LEADING, "")
     return F.trim(F.regexp_replace(F.translate(name, ".", " "), r"(?U)\s+", " "))
 
 
 def titles_of(raw: Column) -> Column:
     """The titles that :func:`strip_titles` takes off, in order."""
-    name, found = upper_trim(raw), []
-    for _ in range(MOST_TITLES):
-        found.append(F.regexp_extract(name, _TITLE, 1))
-        name = F.regexp_replace(name, _TITLE, "")
-    return F.array_join(F.filter(F.array(*found), lambda t: t != ""), " ")
+    leading = F.regexp_extract(upper_trim(raw), _LEADING, 0)
+    return F.array_join(F.regexp_extract_all(leading, F.lit(rf"(?U)\G{_ONE}"), F.lit(1)), " ")
 
 
 def parse_name(raw: Column) -> Column:

@@ -41,8 +41,21 @@ def running_total(df: DataFrame, group: str, page: str, line: str, value: Column
     return out.withColumn(name, F.col("_own") + F.col("_before")).drop("_v", "_block", "_own", "_before")
 
 
+#: Operators after which the rows are in partitions of a shuffle and no more in splits of a scan.
+_SHUFFLES = ("Aggregate", "Join", "Window", "Exchange", "Sort", "Coalesce")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for passes that cost much more
-    than reading; tables of many splits are left as they are, without a shuffle."""
+    than reading; a scan of many splits is left as it is, without a shuffle.
+
+    Only the plan is looked at, no job is run: what comes out of a shuffle, whose partitions are
+    not known before it ran, is shuffled again.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    plan = df._jdf.queryExecution().sparkPlan()
+    if not any(word in line.split("(")[0].split("[")[0] for line in plan.toString().split("\n") for word in _SHUFFLES):
+        leaves = plan.collectLeaves()
+        if sum(leaves.apply(k).execute().getNumPartitions() for k in range(leaves.size())) >= cores:
+            return df
+    return df.repartition(cores)

@@ -6,9 +6,9 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stenoloom.functions.nsw import CATEGORIES, classify
 from stenoloom.functions.regex import tokens
@@ -16,49 +16,54 @@ from stenoloom.sources.lexicon import abbreviation_set
 
 #: Longest written span that counts as a change, tokens of context on either side.
 LONGEST, CONTEXT = 12, 5
-_ENDS = regex.compile(r"^(.+?)([?!]+)$")
-
-
-def align(written: list[str], spoken: list[str]) -> list[tuple[int, int, int, int]]:
-    """(i1, i2, j1, j2) of every stretch in which the two differ; final ? and ! of written tokens
-    stand apart for the comparison, in lower case, and longer written stretches than LONGEST are left out."""
-    parts, origin = [], []
-    for i, t in enumerate(written):
-        m = _ENDS.match(t.lower())
-        pieces = list(m.groups()) if m else [t.lower()]
-        parts += pieces
-        origin += [i] * len(pieces)
-    out = []
-    for op, a, z, j1, j2 in SequenceMatcher(None, parts, spoken, autojunk=False).get_opcodes():
-        if op == "equal":
-            continue
-        i1 = origin[a] if a < len(origin) else len(written)
-        i2 = origin[z - 1] + 1 if z > a else i1
-        if i2 - i1 <= LONGEST:
-            out.append((i1, i2, j1, j2))
-    return out
+
+
+def unequal(left: list[str], right: list[str]) -> list[tuple[int, int, int, int]]:
+    """(a, z, j1, j2): what lies between the stretches that two lists of tokens have in common."""
+    common = SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks()
+    ends = [(0, 0), *((m.a + m.size, m.b + m.size) for m in common)]
+    return [(a, m.a, b, m.b) for (a, b), m in zip(ends, common) if a < m.a or b < m.b]
+
+
+def parted(written: Column) -> Column:
+    """Array of (piece, at) of written tokens: in lower case, final ? and ! apart from the word
+    before them as in the spoken form, each with the place of its token."""
+    def pieces(token: Column, at: Column) -> Column:
+        low = F.lower(token)
+        marks = F.regexp_extract(low, r"(?s)^.+?([?!]+)$", 1)
+        word = F.substring(low, F.lit(1), F.length(low) - F.length(marks))
+        return F.transform(F.filter(F.array(word, marks), lambda x: x != ""), lambda x: F.struct(x.alias("piece"), at.alias("at")))
+
+    return F.flatten(F.transform(written, pieces))
 
 
 def diffs(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, i1, i2, j1, j2, written, spoken): the differing stretches of each row of ``pairs``
-    (keys, written, spoken), turn by turn in the workers."""
-    schema = pairs.select(*keys).schema.simpleString()[len("struct<") : -1] + ", d array<struct<i1:int,i2:int,j1:int,j2:int>>"
-    kind = pa.list_(pa.struct([(c, pa.int32()) for c in ("i1", "i2", "j1", "j2")]))
+    """(keys, i1, i2, j1, j2, w, s): the differing stretches of each row of ``pairs`` (keys,
+    written, spoken) between its written tokens w and spoken tokens s.
+
+    The comparison is an Arrow pass that hands the tokens on; longer written stretches than
+    LONGEST are left out, as they are no changes but lost alignments.
+    """
+    toks = pairs.select(*keys, tokens(F.col("written")).alias("w"), tokens(F.col("spoken")).alias("s")).withColumn("p", parted(F.col("w")))
+    rows = toks.select(*keys, "w", "s", F.col("p.piece").alias("_piece"), F.col("p.at").alias("_at"))
+    n = len(rows.columns)
+    kind = pa.list_(pa.struct([(c, pa.int32()) for c in ("a", "z", "j1", "j2")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [
-                [dict(zip(("i1", "i2", "j1", "j2"), d)) for d in align(w or [], s or [])]
-                for w, s in zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keys))), pa.array(found, kind)], [*keys, "d"])
+            found = [[dict(zip(("a", "z", "j1", "j2"), d)) for d in unequal(p or [], s or [])] for p, s in zip(b.column(n - 2).to_pylist(), b.column(n - 3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], [*b.schema.names, "_d"])
 
-    toks = pairs.select(*keys, tokens(F.col("written")).alias("w"), tokens(F.col("spoken")).alias("s"))
-    found = toks.mapInArrow(run, schema).where(F.size("d") > 0)
-    return found.join(toks, keys).select(*keys, F.explode("d").alias("d"), "w", "s").select(*keys, "d.*", "w", "s")
+    schema = T.StructType([*rows.schema.fields, T.StructField("_d", T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("a", "z", "j1", "j2")])))])
+    d, at = F.col("_d"), F.col("_at")
+    first = F.coalesce(F.get(at, d["a"]), F.size("w"))  # past the last piece: past the last token
+    after = F.when(d["z"] > d["a"], F.get(at, d["z"] - 1) + 1).otherwise(first)
+    return rows.mapInArrow(run, schema).withColumn("_d", F.explode("_d")).select(
+        *keys, first.cast("int").alias("i1"), after.cast("int").alias("i2"), d["j1"].alias("j1"), d["j2"].alias("j2"), "w", "s").where(F.col("i2") - F.col("i1") <= LONGEST)
 
 
 def review_rows(pairs: DataFrame, keys: list[str], abbreviations: frozenset[str] | None = None) -> DataFrame:
-    """(keys, category, span, spoken_span, before, after, spoken_before, spoken_after): every change with its class."""
+    """(keys, at, category, span, spoken_span, before, after, spoken_before, spoken_after): every change with its class."""
     def cut_out(c: str, a, z):
         return F.array_join(F.slice(F.col(c), F.greatest(a, F.lit(0)) + 1, F.greatest(z - F.greatest(a, F.lit(0)), F.lit(0))), " ")
 
@@ -80,6 +85,16 @@ def paired_turns(written: DataFrame, spoken: DataFrame) -> DataFrame:
         "file_idx", "turn_idx", "raw_name", F.col("body").alias("written"), "spoken")
 
 
+def review_sheet(rows: DataFrame, category: str, speaker: str = "raw_name") -> DataFrame:
+    """The changes of one category as a sheet shows them: an absent side reads (empty), a turn is
+    labelled with its speaker and number."""
+    shown = lambda c: F.when(F.col(c) == "", "(empty)").otherwise(F.col(c))
+    line = lambda b, m, a: F.trim(F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in (b, m, a)]))
+    return rows.where(F.col("category") == category).select(
+        "file_idx", "turn_idx", "at", shown("span").alias("written"), shown("spoken_span").alias("spoken"), line("before", "span", "after").alias("written_context"),
+        line("spoken_before", "spoken_span", "spoken_after").alias("spoken_context"), F.concat(F.col(speaker), F.lit(" T"), F.col("turn_idx").cast("string")).alias("turn"))
+
+
 def review_summary(rows: DataFrame) -> DataFrame:
     """(category, changes): every category, Other and TOTAL."""
     n = rows.groupBy("category").agg(F.count("*").alias("changes"))

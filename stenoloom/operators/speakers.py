@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from stenoloom.functions.names import consonant_key, parse_name, speaker_type, titles_of
 from stenoloom.operators.order import with_rank
+from stenoloom.operators.skew import lookup_join
 from stenoloom.plans.durable import cut, drop
 from stenoloom.sources.lexicon import read_aliases
 
@@ -18,20 +19,32 @@ from stenoloom.sources.lexicon import read_aliases
 SURNAME_RATIO, FIRST_RATIO, KEY_LENGTH = 0.80, 0.75, 3
 
 
-def with_alias(rows: DataFrame, name: str, aliases: dict[str, str] | None = None) -> DataFrame:
-    """``name`` replaced by its alias where the table (a short word list) has one."""
+def with_alias(rows: DataFrame, name: str, aliases: dict[str, str] | DataFrame | None = None) -> DataFrame:
+    """``name`` replaced by its alias where there is one: in a short word list, which is broadcast,
+    or in a table (raw, use) of any size, of whose several aliases of a name the smallest counts."""
     table = read_aliases() if aliases is None else aliases
+    if isinstance(table, DataFrame):
+        dim = table.where("raw is not null and use is not null").groupBy(F.col("raw").alias(name)).agg(F.min("use").alias("_alias"))
+        return lookup_join(rows, dim, name).withColumn(name, F.coalesce("_alias", name)).select(*rows.columns)
     if not table:
         return rows
     pairs = rows.sparkSession.createDataFrame(sorted(table.items()), "_raw string, _use string")
-    return rows.join(F.broadcast(pairs), F.col(name) == F.col("_raw"), "left").withColumn(name, F.coalesce("_use", name)).drop("_raw", "_use")
+    return rows.join(F.broadcast(pairs.withColumnRenamed("_use", "_alias")), F.col(name) == F.col("_raw"), "left").withColumn(name, F.coalesce("_alias", name)).drop("_raw", "_alias")
 
 
-def resolve(rows: DataFrame, name: str, mapping: DataFrame) -> DataFrame:
-    """``spk_id`` of each name by ``mapping`` (name, spk_id), the name itself and mapped = false without one."""
-    m = mapping.select(F.col("name").alias("_n"), F.col("spk_id").alias("_id"))
-    joined = rows.join(m, F.col(name) == F.col("_n"), "left")
-    return joined.withColumn("mapped", F.col("_id").isNotNull()).withColumn("spk_id", F.coalesce("_id", name)).drop("_n", "_id")
+def resolve(rows: DataFrame, name: str, mapping: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
+    """``spk_id`` of each name by ``mapping`` (name, spk_id): that of its alias, else its own, else
+    the alias or name itself and mapped = false.
+
+    Names are looked up once each and not once a row, and their ids come back to the rows by a
+    join that holds when one name has most of them.  Of several ids of a name the smallest counts.
+    """
+    m = mapping.where("name is not null and spk_id is not null").groupBy("name").agg(F.min("spk_id").alias("_id"))
+    names = with_alias(rows.select(F.col(name).alias("_raw_name")).where("_raw_name is not null").distinct().withColumn("_use", F.col("_raw_name")), "_use", aliases)
+    found = names.join(m.withColumnsRenamed({"name": "_use", "_id": "_a"}), "_use", "left").join(m.withColumnsRenamed({"name": "_raw_name", "_id": "_b"}), "_raw_name", "left")
+    found = found.select(F.col("_raw_name").alias(name), F.coalesce("_a", "_b").alias("_id"), "_use")
+    joined = lookup_join(rows, found, name)
+    return joined.withColumn("mapped", F.col("_id").isNotNull()).withColumn("spk_id", F.coalesce("_id", "_use")).select(*[c for c in rows.columns if c != "spk_id"], "mapped", "spk_id")
 
 
 def names_of(turn_rows: DataFrame) -> DataFrame:

@@ -93,6 +93,11 @@ def file_overview(raw: DataFrame) -> DataFrame:
     return pages.join(said, "file_idx", "left").fillna(zero)
 
 
+def raw_speakers(turn_rows: DataFrame) -> DataFrame:
+    """One row: the distinct raw names that say anything, before aliases."""
+    return turn_rows.where(words_of(F.col("body")) > 0).agg(F.count_distinct("raw_name").alias("raw_speakers"))
+
+
 def overview_totals(overview: DataFrame) -> DataFrame:
     """One row: files, sum, least, most and average of pages, sums of words and turns."""
     return overview.agg(

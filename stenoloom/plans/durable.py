@@ -1,12 +1,16 @@
 """Lineage cuts that survive the loss of executors.
 
-Everything is written to the shared folder named by ``spark.checkpoint.dir``.  A folder of
-our own is set only where the session names none (unit tests on one machine).
+Everything is written below the shared folder named by ``spark.checkpoint.dir``, in one folder
+of each session that is removed when the session's driver ends.  A folder of our own is set
+only where the session names none and runs on one machine (unit tests).
+
+:func:`cut` writes when it is called, so queries that use it run jobs while they are built.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,14 +19,28 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; sets one when the session has none."""
+    """This session's folder in the folder all executors share.
+
+    Raises where the session names no shared folder and has executors on other machines: they
+    would write to disks of their own, and what is read back would lack rows without an error.
+    """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not configured:
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="stenoloom-"))
-        configured = sc.getCheckpointDir()
-    return configured.rstrip("/")
+    if sc.applicationId not in _folders:
+        configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+        if not configured:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+            configured = "file://" + tempfile.mkdtemp(prefix="stenoloom-")
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{configured.rstrip('/')}/run-{uuid.uuid4().hex}")
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _folders[sc.applicationId] = files.makeQualified(path).toString()
+    return _folders[sc.applicationId]
 
 
 def cut(df: DataFrame) -> DataFrame:

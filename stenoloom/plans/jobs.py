@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stenoloom.functions.clean import COMMON_ABBREVIATIONS, cleaned, for_review, pre_clean
+from stenoloom.functions.nsw import CATEGORIES
 from stenoloom.functions.spoken import spoken_form
 from stenoloom.operators import frequency as fq
 from stenoloom.operators import review as rv
@@ -39,12 +40,20 @@ def dedup_names(turn_rows: DataFrame) -> dict[str, DataFrame]:
             "matrix": sp.file_speaker_words(turn_rows, ids), "dedup_review": sp.dedup_review(grouped, ids)}
 
 
+def corpus_totals(turn_rows: DataFrame, name: str = "raw_name") -> DataFrame:
+    """One row: files, distinct raw speakers (before aliases), turns, words and characters of turns with a body."""
+    said = turn_rows.where("body <> ''")
+    return said.agg(F.count_distinct("file_idx").alias("files"), F.count_distinct(name).alias("speakers"), F.count("*").alias("turns"),
+                    F.coalesce(F.sum(tn.words_of(F.col("body"))), F.lit(0)).alias("words"),
+                    F.coalesce(F.sum(F.length(F.regexp_replace("body", r"[\n\r]", "")).cast("bigint")), F.lit(0)).alias("characters"))
+
+
 def content_stats(turn_rows: DataFrame) -> dict[str, DataFrame]:
     """Characters, words, non-standard words and sentences of the bodies."""
     found = st.sentences(turn_rows, "body")
     nsw = cut(fq.nsw_frequency(turn_rows, "body").unionByName(
         st.dotted_abbreviations(turn_rows, "body").select(F.lit("Abbreviation").alias("category"), "token", "frequency")))
-    return {"overview": st.sentence_stats(found), "category_counts": st.sentence_categories(found),
+    return {"totals": corpus_totals(turn_rows), "overview": st.sentence_stats(found), "category_counts": st.sentence_categories(found),
             "character_frequency": fq.counted(fq.characters(turn_rows, "body"), "ch", 3), "word_frequency": fq.counted(fq.stripped_words(turn_rows, "body"), "word", 4),
             "nsw_frequency": nsw, "nsw_categories": fq.category_counts(nsw)}
 
@@ -64,8 +73,8 @@ def align(written: DataFrame, spoken: DataFrame, prepared: bool = True) -> dict[
     near the spoken punctuation (raw turns), otherwise taken as it is (V1 turns)."""
     if prepared:
         written = written.withColumn("body", for_review(F.col("body"), abbreviation_set() | COMMON_ABBREVIATIONS))
-    rows = cut(rv.review_rows(rv.paired_turns(written, spoken), ["file_idx", "turn_idx"]))
-    return {"changes": rows, "summary": rv.review_summary(rows)}
+    rows = cut(rv.review_rows(rv.paired_turns(written, spoken), ["file_idx", "turn_idx", "raw_name"]))
+    return {"changes": rows, "summary": rv.review_summary(rows), **{f"sheet_{c}": rv.review_sheet(rows, c) for c in (*CATEGORIES, "Other")}}
 
 
 def save(tables: dict[str, DataFrame], folder: str) -> None:

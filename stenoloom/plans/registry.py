@@ -20,7 +20,8 @@ from stenoloom.plans import jobs
 from stenoloom.plans.durable import cut
 from stenoloom.plans.registry_sql import ORACLES
 from stenoloom.sources.tables import table
-from stenoloom.sources.lexicon import read_aliases
+from stenoloom.sources.transcripts import turn_text
+from stenoloom.sources.transcripts import text_turns as from_text
 from stenoloom.streaming import line_statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,9 +79,50 @@ def overview_totals(spark, d):
 
 
 def alias_resolution(spark, d):
-    names = table(spark, d, "speaker_aliases").select(F.upper(F.trim("raw_name")).alias("name"))
-    extra = spark.createDataFrame([(k,) for k in sorted(read_aliases())], "name string")
-    return sp.with_alias(names.unionByName(extra), "name").groupBy("name").agg(F.count("*").alias("n"))
+    typed = table(spark, d, "speaker_aliases")
+    return sp.with_alias(typed.select("tag", F.col("raw_name").alias("name")), "name", typed.select(F.col("raw_name").alias("raw"), F.col("canonical").alias("use"))).groupBy(
+        "name").agg(F.count("*").alias("n"))
+
+
+def raw_speakers(spark, d):
+    return tn.raw_speakers(tn.turns(_lines(spark, d), boilerplate=False))
+
+
+def corpus_totals(spark, d):
+    return jobs.corpus_totals(_texts(spark, d))
+
+
+def raw_turn_text(spark, d):
+    return turn_text(tn.turns(_lines(spark, d)))
+
+
+def _written(spark, d, skip_empty):
+    """Lines of the text that the raw sink writes, a page for each turn."""
+    text = turn_text(tn.turns(_lines(spark, d)), skip_empty=skip_empty)
+    return text.select("file_idx", F.col("turn_idx").alias("page_idx"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+
+
+def text_turns_dropped(spark, d):
+    return from_text(_written(spark, d, False), keep_empty=False)
+
+
+def text_turns_kept(spark, d):
+    return from_text(_written(spark, d, False), keep_empty=True)
+
+
+def _cast(spark, d):
+    """Turns of the turns table, and the given ids of their speakers."""
+    ids = table(spark, d, "speakers").select(F.col("speaker_name").alias("name"), F.col("speaker_name").alias("canonical"), "spk_id")
+    return _texts(spark, d).where("raw_name is not null"), ids
+
+
+def cast_sheet(spark, d):
+    return sp.speaker_sheet(*_cast(spark, d))
+
+
+def cast_matrix(spark, d):
+    per = sp.file_speaker_words(*_cast(spark, d))
+    return per.select("file_idx", "speakers", F.array_join(F.transform(F.map_entries("words"), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), "; ").alias("cells"))
 
 
 def resolved_speakers(spark, d):
@@ -222,14 +264,14 @@ def line_stream_statistics(spark, d):
 def queries() -> dict[str, Query]:
     plain = [
         word_freq_tokens, word_freq_stripped, char_freq, turns_from_lines, noise_line_counts, speaker_file_words, speaker_file_matrix, segment_range,
-        file_overview, overview_totals, alias_resolution, resolved_speakers, unmapped_speakers, name_parts, parsed_names, name_order, name_candidate_pairs,
+        file_overview, overview_totals, raw_speakers, corpus_totals, raw_turn_text, text_turns_dropped, text_turns_kept, cast_sheet, cast_matrix, alias_resolution, resolved_speakers, unmapped_speakers, name_parts, parsed_names, name_order, name_candidate_pairs,
         speaker_clusters, speaker_ids, dedup_mapping_ranked, ascii_folded, clean_v1, spoken_numbers, spoken_items, spoken_events, nsw_bracketed, nsw_frequency,
         nsw_category_counts, term_rank, term_category_totals, sentence_stats, sentence_categories, dotted_abbreviations, line_stream_statistics,
     ]
     modes = {
         "speaker_sheet": ("dedup", "speakers"), "speaker_matrix": ("dedup", "matrix"), "dedup_review": ("dedup", "dedup_review"), "noise_totals": ("summary", "noise_totals"),
         "v1_turns": ("normalise", "v1"), "v3_turns": ("normalise", "v3"), "v3_word_frequency": ("normalise", "word_frequency"),
-        "review_changes": ("review", "changes"), "review_summary": ("review", "summary"), "review2_changes": ("review2", "changes"), "review2_summary": ("review2", "summary"),
+        "review_changes": ("review", "changes"), "review_sheet_abbreviations": ("review", "sheet_Abbreviation"), "review_summary": ("review", "summary"), "review2_changes": ("review2", "changes"), "review2_summary": ("review2", "summary"),
     }
     return {f.__name__: f for f in plain} | {name: _job(*job) for name, job in modes.items()}
 

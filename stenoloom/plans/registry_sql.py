@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from stenoloom.functions.nsw import CATEGORIES
 from stenoloom.functions.numbers import ONES, TENS
-from stenoloom.sources.lexicon import read_aliases
 
 _WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -68,11 +67,23 @@ _ORDINAL = """CASE WHEN {c} LIKE '%one' THEN regexp_replace({c}, 'one$', 'first'
  WHEN {c} LIKE '%five' THEN regexp_replace({c}, 'five$', 'fifth') WHEN {c} LIKE '%eight' THEN {c} || 'h' WHEN {c} LIKE '%nine' THEN regexp_replace({c}, 'nine$', 'ninth')
  WHEN {c} LIKE '%twelve' THEN regexp_replace({c}, 'twelve$', 'twelfth') WHEN {c} LIKE '%ty' THEN regexp_replace({c}, 'ty$', 'tieth') ELSE {c} || 'th' END"""
 
-_ALIASES = ", ".join("('" + k.replace("'", "''") + "', '" + v.replace("'", "''") + "')" for k, v in sorted(read_aliases().items()))
 _DIM = ", ".join(f"('{c}')" for c in ("Word", *CATEGORIES))
 _TITLE = (r"^(HON''BLE THE CHIEF JUSTICE OF INDIA|HON''BLE THE CHIEF JUSTICE|HON''BLE MRS\. JUSTICE|HON''BLE MR\. JUSTICE|HON''BLE MS\. JUSTICE|ADDITIONAL SOLICITOR GENERAL|"
           r"CHIEF JUSTICE OF INDIA|SOLICITOR GENERAL|ATTORNEY GENERAL|HON''BLE JUSTICE|CHIEF JUSTICE|JUSTICE|PROF|MRS|CJI|MR|MS|DR)\b\.?" + _WS + r"*([^\s.])")
 
+_ROLE = (r"ADVOCATE|COUNSEL|PETITIONER''S COUNSEL( [0-9]*)?|RESPONDENT''S COUNSEL( [0-9]*)?|CLAIMANT''S COUNSEL|NODAL COUNSEL|COURT MASTER|BENCH|COURT|INTERPRETER|REGISTRAR|AMICUS|JUDGE|JUSTICE|SPEAKER")
+_TITLES = _TITLE[2 : _TITLE.index(")")]
+#: Parts of the names of a table raw(raw_name).
+_PARSED = rf"""u AS (SELECT raw_name, upper(regexp_replace(raw_name, '^{_WS}+|{_WS}+$', '', 'g')) AS u FROM raw),
+t AS (SELECT *, regexp_full_match(u, '{_ROLE}') AS role, regexp_replace(u, '^((?:{_TITLES})\b\.?{_WS}*)+([^\s.])', '\2') AS s FROM u),
+l AS (SELECT *, list_filter(regexp_split_to_array(replace(s, '.', ' '), '{_WS}+'), lambda x: x <> '') AS p FROM t),
+n AS (SELECT *, list_max(list_transform(list_filter(range(1, len(p) + 1), lambda i: NOT regexp_full_match(p[i], '\pL{{1,2}}')), lambda i: i)) AS long FROM l),
+parsed AS (SELECT raw_name, role, CASE WHEN NOT role AND k > 1 THEN p[1] END AS first, CASE WHEN NOT role AND k > 2 THEN array_to_string(p[2:k - 1], ' ') ELSE '' END AS middles,
+ CASE WHEN NOT role AND k > 0 THEN p[k] END AS surname, array_to_string(regexp_extract_all(left(u, length(u) - length(s)), '({_TITLES})\b', 1), ' ') AS title
+ FROM (SELECT *, coalesce(long, len(p)) AS k FROM n))"""
+#: Turns as they come back from the text the sink writes: names that no label of a text can be lose theirs.
+_WRITTEN = _SPEECH + r""", written AS (SELECT file_idx, turn_idx, raw_name, body FROM turns)"""
+
 ORACLES: dict[str, str] = {
     "word_freq_tokens": _ranked(f"WITH {_TEXTS}, w AS (SELECT x AS word FROM (SELECT unnest(regexp_split_to_array(lower(body), '{_WS}+')) AS x FROM texts) WHERE x <> '')", "word"),
     "word_freq_stripped": _ranked(
@@ -95,13 +106,28 @@ SELECT file_idx, pages, coalesce(words, 0) AS words, coalesce(turns, 0) AS turns
     "overview_totals": f"""WITH {_ALL_SPEECH}, p AS (SELECT file_idx, count(DISTINCT page_idx) AS pages FROM lines GROUP BY file_idx)
 SELECT (SELECT count(*) FROM p) AS files, (SELECT CAST(sum(pages) AS BIGINT) FROM p) AS pages, (SELECT min(pages) FROM p) AS min_pages, (SELECT max(pages) FROM p) AS max_pages,
  (SELECT round(avg(pages), 4) FROM p) AS avg_pages, (SELECT CAST(sum(w) AS BIGINT) FROM counted) AS words, (SELECT count(*) FROM counted) AS turns""",
-    "alias_resolution": f"""WITH a(raw, use) AS (VALUES {_ALIASES}), names AS (SELECT upper(trim(raw_name)) AS name FROM speaker_aliases UNION ALL SELECT raw FROM a)
-SELECT coalesce(use, name) AS name, count(*) AS n FROM names LEFT JOIN a ON name = raw GROUP BY 1""",
+    "alias_resolution": """WITH a AS (SELECT raw_name AS raw, min(canonical) AS use FROM speaker_aliases WHERE canonical IS NOT NULL GROUP BY raw_name)
+SELECT coalesce(use, raw_name) AS name, count(*) AS n FROM speaker_aliases LEFT JOIN a ON raw_name = raw GROUP BY 1""",
+    "raw_speakers": f"WITH {_ALL_SPEECH} SELECT count(DISTINCT raw_name) AS raw_speakers FROM counted WHERE w > 0",
+    "corpus_totals": f"""WITH {_TEXTS} SELECT count(DISTINCT file_idx) AS files, count(DISTINCT raw_name) AS speakers, count(*) AS turns,
+ CAST(sum(len(list_filter(regexp_split_to_array(body, '{_WS}+'), lambda x: x <> ''))) AS BIGINT) AS words, CAST(sum(length(replace(replace(body, chr(10), ''), chr(13), ''))) AS BIGINT) AS characters
+FROM texts WHERE body <> ''""",
+    "raw_turn_text": f"WITH {_SPEECH} SELECT file_idx, turn_idx, raw_name || ':' || chr(10) || body || chr(10) AS value FROM turns WHERE body <> ''",
+    "text_turns_dropped": f"WITH {_WRITTEN} SELECT * FROM written WHERE body <> ''",
+    "text_turns_kept": f"WITH {_WRITTEN} SELECT * FROM written",
+    "cast_sheet": f"""WITH {_TEXTS}, c AS (SELECT t.*, s.spk_id, len(list_filter(regexp_split_to_array(body, '{_WS}+'), lambda x: x <> '')) AS w FROM texts t JOIN speakers s ON raw_name = speaker_name),
+g AS (SELECT spk_id, raw_name AS canonical, CAST(sum(w) AS BIGINT) AS words, count(DISTINCT file_idx) AS files, array_to_string(list_sort(list(DISTINCT file_idx)), ', ') AS file_list,
+ CAST(min(w) AS BIGINT) AS shortest, CAST(max(w) AS BIGINT) AS longest FROM c WHERE w > 0 GROUP BY ALL), raw AS (SELECT DISTINCT canonical AS raw_name FROM g), {_PARSED}
+SELECT spk_id, canonical, p.title, coalesce(p.first, '') AS first_name, p.middles AS middle_names, coalesce(p.surname, canonical) AS surname, CASE WHEN p.role THEN 'Role' ELSE 'Named' END AS speaker_type,
+ words, files, file_list, shortest, longest FROM g JOIN parsed p ON p.raw_name = canonical""",
+    "cast_matrix": f"""WITH {_TEXTS}, c AS (SELECT file_idx, spk_id, CAST(sum(len(list_filter(regexp_split_to_array(body, '{_WS}+'), lambda x: x <> ''))) AS BIGINT) AS w FROM texts JOIN speakers ON raw_name = speaker_name
+ GROUP BY ALL) SELECT file_idx, count(*) AS speakers, string_agg(spk_id || '=' || w, '; ' ORDER BY encode(spk_id)) AS cells FROM c WHERE w > 0 GROUP BY file_idx""",
+    "parsed_names": f"WITH raw AS (SELECT DISTINCT raw_name FROM speaker_aliases WHERE raw_name IS NOT NULL), {_PARSED} SELECT raw_name, first, middles, surname, title FROM parsed",
     "resolved_speakers": f"""WITH {_TEXTS} SELECT raw_name, coalesce(s.spk_id, raw_name) AS spk_id, s.spk_id IS NOT NULL AS mapped, count(*) AS turns
 FROM texts LEFT JOIN speakers s ON raw_name = speaker_name WHERE raw_name IS NOT NULL GROUP BY ALL""",
     "unmapped_speakers": f"WITH {_TEXTS} SELECT raw_name, count(*) AS turns FROM texts WHERE raw_name IS NOT NULL AND raw_name NOT IN (SELECT speaker_name FROM speakers) GROUP BY ALL",
     "name_parts": rf"""WITH r AS (SELECT DISTINCT raw_name FROM speaker_aliases WHERE raw_name IS NOT NULL), u AS (SELECT raw_name, upper(regexp_replace(raw_name, '^{_WS}+|{_WS}+$', '', 'g')) AS u FROM r),
-t AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '{_TITLE}', '\2'), '{_TITLE}', '\2'), '{_TITLE}', '\2'), '{_TITLE}', '\2') AS s FROM u),
+t AS (SELECT *, regexp_replace(u, '^((?:{_TITLES})\b\.?{_WS}*)+([^\s.])', '\2') AS s FROM u),
 k AS (SELECT *, regexp_extract_all(regexp_replace(translate(regexp_replace(upper(raw_name), '[.'' ]', '', 'g'), 'VCQZP', 'WKKSB'), '[AEIOU]', '', 'g'), '(?s).') AS c FROM t)
 SELECT raw_name, trim(regexp_replace(replace(s, '.', ' '), '{_WS}+', ' ', 'g')) AS stripped,
  CASE WHEN regexp_full_match(u, 'ADVOCATE|COUNSEL|PETITIONER''S COUNSEL( [0-9]*)?|RESPONDENT''S COUNSEL( [0-9]*)?|CLAIMANT''S COUNSEL|NODAL COUNSEL|COURT MASTER|BENCH|COURT|INTERPRETER|REGISTRAR|AMICUS|JUDGE|JUSTICE|SPEAKER')

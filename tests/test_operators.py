@@ -4,13 +4,14 @@ import difflib
 import random
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from stenoloom.operators import frequency as fq
 from stenoloom.operators import speakers as sp
 from stenoloom.operators import turns as tn
 from stenoloom.operators.order import running_total, with_rank
-from stenoloom.operators.review import align, review_rows, review_summary
+from stenoloom.operators.review import diffs, review_rows, review_sheet, review_summary
 from stenoloom.operators.skew import lookup_join
 from stenoloom.plans import jobs
 from stenoloom.sources.transcripts import read_text_lines, summary_text, text_turns, write_turns, write_workbook
@@ -87,13 +88,67 @@ def test_speaker_clusters(spark):
 
 def test_review(spark):
     w, s = "We paid 50% to Dr. Rao? yes".split(), "we paid fifty percent to doctor rao ? yes".split()
-    assert [(w[a:z], s[j:k]) for a, z, j, k in align(w, s)] == [(["50%"], ["fifty", "percent"]), (["Dr."], ["doctor"])]
-    assert difflib.SequenceMatcher(None, "tide", "diet").ratio() == 0.25
     df = spark.createDataFrame([(1, 1, " ".join(w), " ".join(s)), (1, 2, "", "")], "file_idx int, turn_idx int, written string, spoken string")
     rows = review_rows(df, ["file_idx", "turn_idx"])
     assert {(r.category, r.span, r.before, r.after) for r in rows.collect()} == {("Percentage", "50%", "We paid", "to Dr. Rao? yes"), ("Abbreviation", "Dr.", "We paid 50% to", "Rao? yes")}
     total = {r.category: r.changes for r in review_summary(rows).collect()}
     assert total["TOTAL"] == 2 and total["Email"] == 0 and len(total) == 17
+    more = spark.createDataFrame([(3, 4, "MR. KELSO", "We met the Sec. Rao now", "we met rao now")], "file_idx int, turn_idx int, raw_name string, written string, spoken string")
+    sheet = review_sheet(review_rows(more, ["file_idx", "turn_idx", "raw_name"]), "Abbreviation").collect()
+    assert [tuple(r)[3:] for r in sheet] == [("the Sec.", "(empty)", "We met the Sec. Rao now", "we met rao now", "MR. KELSO T4")]
+
+
+def test_diffs_by_brute_force(spark):
+    rnd = random.Random(4)
+    data = []
+    for k in range(60):
+        w = [rnd.choice(["a", "B", "c?!", "d", "??", "e!"]) for _ in range(rnd.randrange(30))]
+        data.append((k, " ".join(w), " ".join(rnd.choice(["a", "b", "c", "?!", "d", "??", "e", "!"]) for _ in range(rnd.randrange(30)))))
+    got = {}
+    for r in diffs(spark.createDataFrame(data * 2, "k int, written string, spoken string"), ["k"]).collect():
+        got.setdefault(r.k, []).append((r.i1, r.i2, r.j1, r.j2))
+    for k, w, s in data:
+        flat = [(piece, i) for i, t in enumerate(w.split()) for piece in ((t[:-len(t.lstrip("abcdeB")) or None], t.lstrip("abcdeB")) if t[0].isalpha() else (t[0], t[1:])) if piece]
+        want = []
+        for op, a, z, j1, j2 in difflib.SequenceMatcher(None, [p.lower() for p, _ in flat], s.split(), autojunk=False).get_opcodes():
+            if op != "equal":
+                i1 = flat[a][1] if a < len(flat) else len(w.split())
+                i2 = flat[z - 1][1] + 1 if z > a else i1
+                if i2 - i1 <= 12:
+                    want.append((i1, i2, j1, j2))
+        assert sorted(got.get(k, [])) == sorted(want * 2), (w, s)
+
+
+def test_resolve_and_aliases(spark):
+    rows = spark.createDataFrame([("A", 1)] * 30 + [("B", 2), ("C", 3), ("D", 4), (None, 5)], "raw_name string, _use int")
+    ids = spark.createDataFrame([("X", "s1"), ("B", "s2"), ("C", "s3"), ("C", "s0"), (None, "s9")], "name string, spk_id string")
+    got = {(r.raw_name, r.spk_id, r.mapped) for r in sp.resolve(rows.withColumnRenamed("_use", "words"), "raw_name", ids, {"A": "X", "B": "Y", "D": "Z"}).collect()}
+    assert got == {("A", "s1", True), ("B", "s2", True), ("C", "s0", True), ("D", "Z", False), (None, None, False)}
+    from stenoloom.sources.lexicon import read_aliases
+
+    held = read_aliases()
+    names = spark.createDataFrame([(k,) for k in held] + [("OTHER",)], "n string")
+    assert {r.n for r in sp.with_alias(names, "n").collect()} == {*held.values(), "OTHER"}
+    table = spark.createDataFrame([("A", "X"), ("A", "W"), ("B", None)], "raw string, use string")
+    assert {r.raw_name for r in sp.with_alias(rows, "raw_name", table).collect()} == {"W", "B", "C", "D", None}
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from stenoloom.operators.order import spread
+    from stenoloom.plans.durable import shared_dir
+
+    far = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="far", master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(far)
+    tracker, before = spark.sparkContext.statusTracker(), shared_dir(spark)
+    assert shared_dir(spark) == before and "/run-" in before
+    df = spark.range(10, numPartitions=1)
+    spark.sparkContext.setJobGroup("spread", "")
+    wide = [spread(df), spread(df.distinct()), spread(spark.range(10, numPartitions=9))]
+    assert not tracker.getJobIdsForGroup("spread")  # the plan is looked at, nothing is run
+    assert [x.rdd.getNumPartitions() for x in wide] == [4, 4, 9]
 
 
 def test_modes_and_files(spark, tmp_path):

@@ -55,13 +55,14 @@ def test_ordinals_and_romans(spark):
 
 
 def test_names(spark):
-    rows = [("MR. RAVEN KELSO",), ("JUSTICE D.Y. MARLOWE",), ("MR. SHARMA",), ("COURT MASTER",), ("ATTORNEY GENERAL",), (None,)]
+    rows = [("MR. RAVEN KELSO",), ("JUSTICE D.Y. MARLOWE",), ("MR. SHARMA",), ("COURT MASTER",), ("ATTORNEY GENERAL",), ("MR. MR. MR. DR. DR. prof. KELSO",), ("MR. JUSTICE",), ("ATTORNEY GENERAL R. KELSO",), (None,)]
     p = nm.parse_name(F.col("n"))
     got = spark.createDataFrame(rows, "n string").select(
         nm.strip_titles(F.col("n")).alias("s"), p["first"].alias("f"), p["surname"].alias("l"), nm.speaker_type(F.col("n")).alias("k"), nm.titles_of(F.col("n")).alias("t")).collect()
-    assert [(r.s, r.f, r.l, r.k, r.t) for r in got[:5]] == [
+    assert [(r.s, r.f, r.l, r.k, r.t) for r in got[:8]] == [
         ("RAVEN KELSO", "RAVEN", "KELSO", "Named", "MR"), ("D Y MARLOWE", "D", "MARLOWE", "Named", "JUSTICE"), ("SHARMA", None, "SHARMA", "Named", "MR"),
-        ("COURT MASTER", None, None, "Role", ""), ("ATTORNEY GENERAL", "ATTORNEY", "GENERAL", "Named", "")]
+        ("COURT MASTER", None, None, "Role", ""), ("ATTORNEY GENERAL", "ATTORNEY", "GENERAL", "Named", ""),
+        ("KELSO", None, "KELSO", "Named", "MR MR MR DR DR PROF"), ("JUSTICE", None, "JUSTICE", "Named", "MR"), ("R KELSO", "R", "KELSO", "Named", "ATTORNEY GENERAL")]
     keys = spark.createDataFrame([("CHANDRACHUD",), ("SINHA",), (None,)], "n string").select(nm.consonant_key(F.col("n")).alias("k")).collect()
     assert [r.k for r in keys] == ["KHNDRKHD", "SNH", ""]
 
@@ -70,7 +71,7 @@ def test_non_standard_words(spark):
     assert find("Rs. 5,000 at 50% on 12/05/2023, [NO AUDIO] 39B A.K. WP 7") == [
         ("Bracketed", "[NO AUDIO]"), ("Money", "Rs. 5,000"), ("Percentage", "50%"), ("Date", "12/05/2023"), ("LSEQ", "A.K."), ("SPLT", "39B"), ("Acronym", "WP"), ("Cardinal", "7")]
     assert find("") == [] and find("plain words") == []
-    rows = [("50%", "Percentage"), ("Dr.", "Abbreviation"), ("hello", "Other"), ("39B", "SPLT")]
+    rows = [("50%", "Percentage"), ("Dr.", "Abbreviation"), ("hello", "Other"), ("39B", "SPLT"), ("Mr. Smith", "Abbreviation"), ("so the Sec.", "Abbreviation"), ("no 7 Dr.", "Cardinal"), ("", "Other"), ("...", "Other")]
     for r in spark.createDataFrame(rows, "s string, want string").withColumn("got", classify(F.col("s"), abbreviation_set())).collect():
         assert r.got == r.want
 
