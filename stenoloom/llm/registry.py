@@ -16,7 +16,7 @@ from stenoloom.llm.leakage import leaks
 from stenoloom.llm.name_variants import name_groups, name_pairs
 from stenoloom.llm.page_repair import page_findings, page_paragraphs
 from stenoloom.llm.sentences import sentence_ends
-from stenoloom.llm.speaker_turns import speaker_turns
+from stenoloom.llm.speaker_turns import pauses, speaker_turns
 from stenoloom.llm.term_frequency import term_statistics
 from stenoloom.sources.tables import table
 
@@ -31,6 +31,10 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_turns(spark, folder).select("file_idx", "page_idx", "line_no", "spk_id")
 
 
+def p1_pauses(spark: SparkSession, folder: str) -> DataFrame:
+    return pauses(table(spark, folder, "transcript_original"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return golden_records(table(spark, folder, "speaker_records")).select("grp", "speaker_name", "total_words")
 
@@ -86,7 +90,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [p1_turns, p1_found, p2_found, p3_terms, p3_found, p4_groups, p4_found, p5_found, p6_found, p6_paragraphs, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
+    found = [p1_turns, p1_found, p1_pauses, p2_found, p3_terms, p3_found, p4_groups, p4_found, p5_found, p6_found, p6_paragraphs, p7_found, p8_ids, p9_found, p10_stretches, p10_found]
     return {f.__name__: f for f in found}
 
 

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stenoloom.operators.order import spread
+from stenoloom.operators.skew import lookup_join
 from stenoloom.plans.durable import cut
 
 # How speakers are addressed, and marks that a speaker goes on.
@@ -35,17 +38,31 @@ def spoken(raw: str) -> str:
     return _SPACE.sub(" ", text).strip(" >")
 
 
+def overlap(text: list[str], line: list[str]) -> int:
+    """Words of the longest suffix of ``text`` that is a prefix of ``line``, in time linear in the line."""
+    fall = [0] * len(line)  # of each prefix of the line the longest proper suffix that is a prefix too
+    k = 0
+    for i in range(1, len(line)):
+        while k and line[i] != line[k]:
+            k = fall[k - 1]
+        k += line[i] == line[k]
+        fall[i] = k
+    k = 0
+    for w in text[len(text) - min(len(text), len(line)) :]:
+        while k and (k == len(line) or w != line[k]):
+            k = fall[k - 1]
+        k += w == line[k]
+    return k
+
+
 def join_captions(lines: list[str], least: int = 4) -> str:
     """Lines joined; of rolling captions the words that a line repeats from the end of the text
     so far (its longest suffix that is a prefix of the line, of ``least`` words or more) come once."""
     out: list[str] = []
     for line in lines:
         new = line.split()
-        for k in range(min(len(new), len(out), 40), least - 1, -1):
-            if out[-k:] == new[:k]:
-                new = new[k:]
-                break
-        out += new
+        k = overlap(out, new) if len(new) >= least and len(out) >= least else 0
+        out += new[k:] if k >= least else new
     return " ".join(out)
 
 
@@ -158,81 +175,117 @@ def split_label(line: str, cast: Cast) -> tuple[str, str] | None:
     return (spk, line[m.end() :]) if spk is not None else None
 
 
-class _Turns:
-    """Merges segments, in order, into turns.  A segment is (file, page, line, spk, raw lines)."""
-
-    def __init__(self):
-        self.run: list | None = None  # [file, page, line, spk, texts]
-        self.open: list | None = None  # the last label with its raw lines, words not yet known
-        self.done: list[list] = []
-
-    def label(self, file, page, line, spk, rest: str) -> None:
-        self.settle()
-        if self.run is not None and self.run[0] != file:
-            self.finish()
-        self.open = [file, page, line, spk, [rest]]
-
-    def more(self, file, lines: list[str]) -> bool:
-        """Lines under the open label; false where the file has no label yet."""
-        if self.open is None or self.open[0] != file:
-            return False
-        self.open[4] += lines
-        return True
-
-    def settle(self) -> None:
-        if self.open is None:
-            return
-        file, page, line, spk, raw = self.open
-        self.open = None
-        text = spoken(join_captions(raw))
-        if _has_words(text):
-            self.add(file, page, line, spk, text)
-
-    def add(self, file, page, line, spk, text: str) -> None:
-        if self.run is not None and self.run[0] == file and self.run[3] == spk:
-            self.run[4].append(text)
-            return
-        self.finish()
-        self.run = [file, page, line, spk, [text]]
-
-    def finish(self) -> None:
-        if self.run is not None:
-            self.done.append(self.run)
-        self.run = None
-
-    def take(self) -> list[list]:
-        out, self.done = self.done, []
-        return out
-
-
-def layout_lines(lines: DataFrame, share: float = 0.02) -> set[str]:
-    """Lines (digits as 9, small) that stand among the first or last two of at least ``share`` of all pages.
-
-    Counted over all pages; by the share there are at most 4 / ``share`` of them.
+#: Pages that make a block: what is sorted and counted together in one task.
+BLOCK = 64
+#: Most speakers a worker holds; more are refused, not cut.
+MOST_SPEAKERS = 500_000
+_MARK = regex.compile(r"^[\[(<{\s>]*(\d{1,2}):(\d\d):(\d\d)(?!\d)")
+
+
+def _norm(line: Column) -> Column:
+    return F.trim(F.lower(F.regexp_replace(line, r"\d+", "9")))
+
+
+def page_layout(rows: DataFrame, share: float = 0.1, least: int = 3) -> DataFrame:
+    """(file_idx, block, layout): lines (digits as 9, small) that are layout in a block of pages.
+
+    A line is layout in a block when it stands among the first or last two of at least ``share``
+    of the block's pages, and of at least ``least``; and at the edges of any block when it is so
+    in ``least`` files, as the lines of a transcription service are.  How large the rest of the
+    collection is makes no difference to a file.
     """
-    norm = F.trim(F.lower(F.regexp_replace("line", r"\d+", "9")))
-    rows = lines.where("line_no is not null and page_idx is not null and trim(line) <> ''").select("file_idx", "page_idx", "line_no", norm.alias("l"))
-    last = rows.groupBy("file_idx", "page_idx").agg(
-        F.slice(F.sort_array(F.collect_set(F.struct("line_no", "l"))), 1, 2).alias("head"),
-        F.slice(F.sort_array(F.collect_set(F.struct("line_no", "l")), asc=False), 1, 2).alias("foot"))
-    edges = last.select("file_idx", "page_idx", F.explode(F.array_distinct(F.concat("head.l", "foot.l"))).alias("l"))
-    pages = max(1, last.count())
-    often = edges.where(~F.col("l").rlike(r"[:>]$")).groupBy("l").agg(F.count("*").alias("n")).where(
-        (F.col("n") >= share * pages) & (F.col("n") > 2))
-    return {r["l"] for r in often.collect()}
+    block = F.floor(F.col("page_idx") / BLOCK).alias("block")
+    said = rows.select("file_idx", block, "page_idx", F.struct("line_no", _norm(F.col("line")).alias("l")).alias("x"))
+    pages = said.groupBy("file_idx", "block", "page_idx").agg(F.sort_array(F.collect_set("x")).alias("x"))  # the lines of one page
+    pages = pages.select("file_idx", "block", F.array_distinct(F.concat(F.slice("x", 1, 2), F.slice(F.reverse("x"), 1, 2))["l"]).alias("edges"))
+    size = pages.groupBy("file_idx", "block").agg(F.count("*").alias("pages"))
+    edges = pages.select("file_idx", "block", F.explode("edges").alias("l")).where(~F.col("l").rlike(r"[:>]$")).groupBy("file_idx", "block", "l").agg(F.count("*").alias("n"))
+    edges = cut(edges.join(size, ["file_idx", "block"]).withColumn("own", (F.col("n") >= least) & (F.col("n") >= share * F.col("pages"))))
+    common = edges.where("own").groupBy("l").agg(F.count_distinct("file_idx").alias("files")).where(F.col("files") >= least)
+    found = lookup_join(edges, common, "l").where(F.col("own") | F.col("files").isNotNull())
+    return found.groupBy("file_idx", "block").agg(F.collect_set("l").alias("layout"))
+
+
+_PARSED = "file_idx int, page_idx int, line_no int, line string, spk_id string, rest int, known boolean, seconds int"
+
+
+def _parsed(lines: DataFrame, speakers: DataFrame) -> DataFrame:
+    """Lines with the speaker of their label, where its text begins, whether they are layout by
+    themselves, and the time mark they begin with; line by line, in whatever order."""
+    spark = lines.sparkSession
+    people = [tuple(r) for r in speakers.select("spk_id", "speaker_name", "first_name", "middle_name", "surname", "speaker_type").where("spk_id is not null").distinct().take(MOST_SPEAKERS + 1)]
+    if len(people) > MOST_SPEAKERS:
+        raise ValueError(f"more than {MOST_SPEAKERS} speakers")
+    shared = spark.sparkContext.broadcast(people)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cast = Cast(shared.value)
+        for b in batches:
+            out = []
+            for line in b.column(3).to_pylist():
+                known = _LAYOUT.match(line) is not None
+                hit = None if known else split_label(line, cast)
+                mark = _MARK.match(line)
+                out.append((hit[0] if hit else None, len(line) - len(hit[1]) if hit else 0, known, int(mark[1]) * 3600 + int(mark[2]) * 60 + int(mark[3]) if mark else None))
+            cols = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.int32())))],
+                                             [*b.schema.names, "spk_id", "rest", "known", "seconds"])
+
+    return spread(lines).mapInArrow(parse, _PARSED)
 
 
-_OUT = ["part", "idx", "kind", "file_idx", "page_idx", "line_no", "spk_id", "text", "cut"]
-_TYPES = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_())
-_SCHEMA = "part int, idx bigint, kind string, file_idx int, page_idx int, line_no int, spk_id string, text string, cut boolean"
+def _keyed(lines: DataFrame) -> DataFrame:
+    cols = [F.col(c).cast("int").alias(c) for c in ("file_idx", "page_idx", "line_no")]
+    return lines.select(*cols, "line").where("file_idx is not null and page_idx is not null and line_no is not null and trim(line) <> ''")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [[]] * len(_OUT)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], _OUT)
+_ORDER = ("page_idx", "line_no")
 
 
-def speaker_turns(lines: DataFrame, speakers: DataFrame) -> DataFrame:
+def _in_block():
+    return W.partitionBy("file_idx", "block").orderBy(*_ORDER)
+
+
+def _counted(rows: DataFrame, *flags: str) -> DataFrame:
+    """``rows`` (with file_idx, block) with each 0/1 column of ``flags`` replaced by its running sum in
+    the file: summed in a block, and over the blocks of a file, so that no file is sorted in one task."""
+    totals = rows.groupBy("file_idx", "block").agg(*[F.sum(f).alias(f) for f in flags])
+    earlier = W.partitionBy("file_idx").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = totals.select("file_idx", "block", *[F.coalesce(F.sum(f).over(earlier), F.lit(0)).alias(f"{f}_before") for f in flags])
+    run = _in_block().rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumns({f: F.sum(f).over(run) for f in flags}).join(before, ["file_idx", "block"]).withColumns(
+        {f: (F.col(f) + F.col(f"{f}_before")).cast("bigint") for f in flags}).drop(*[f"{f}_before" for f in flags])
+
+
+def _previous(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """``rows`` with the ``value`` of the row before in the file, across blocks."""
+    last = rows.groupBy("file_idx", "block").agg(F.max_by(value, F.struct(*_ORDER)).alias("_last"))
+    last = last.select("file_idx", "block", F.lag("_last").over(W.partitionBy("file_idx").orderBy("block")).alias("_last"))
+    return rows.withColumn(name, F.lag(value).over(_in_block())).join(last, ["file_idx", "block"]).withColumn(name, F.coalesce(name, "_last")).drop("_last")
+
+
+def _pauses(parsed: DataFrame, forward: float = 0.9, least: int = 8, fences: float = 3.0) -> DataFrame:
+    marks = parsed.where("seconds is not null").groupBy("file_idx", F.floor(F.col("page_idx") / BLOCK).alias("block"), *_ORDER).agg(F.min("seconds").alias("seconds"))
+    gaps = cut(_previous(marks, "seconds", "before").withColumn("pause", F.col("seconds") - F.col("before")).where("pause is not null"))
+    q = lambda p: F.percentile_approx(F.when(F.col("pause") >= 0, F.col("pause")), p, 10_000)
+    of_file = gaps.groupBy("file_idx").agg(F.count("*").alias("n"), F.avg((F.col("pause") >= 0).cast("int")).alias("ahead"), (q(0.75) + fences * (q(0.75) - q(0.25))).alias("bound"))
+    of_file = of_file.where((F.col("n") >= least) & (F.col("ahead") >= forward))
+    return gaps.join(of_file, "file_idx").where("pause > bound and pause > 0").select("file_idx", *_ORDER, "pause")
+
+
+def pauses(lines: DataFrame) -> DataFrame:
+    """(file_idx, page_idx, line_no, pause): lines before which nobody speaks for remarkably long.
+
+    Pauses are between one time mark at the beginning of a line and the next, in seconds.  What is
+    long is calibrated for each file: above the third quartile of its pauses by three times the
+    range between the quartiles.  Files in which fewer than nine of ten time marks run forward,
+    or of fewer than eight pauses, have no time axis and no pauses.
+    """
+    nobody = lines.sparkSession.createDataFrame([], "spk_id string, speaker_name string, first_name string, middle_name string, surname string, speaker_type string")
+    return _pauses(cut(_parsed(_keyed(lines), nobody).select("file_idx", *_ORDER, "seconds")))
+
+
+def speaker_turns(lines: DataFrame, speakers: DataFrame, split_at_pauses: bool = False) -> DataFrame:
     """(file_idx, page_idx, line_no, spk_id, text): the turns of every file.
 
     ``lines`` has file_idx, page_idx, line_no, line; ``speakers`` has spk_id, speaker_name,
@@ -241,103 +294,53 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame) -> DataFrame:
     spoken word falls.  A label is a name that means one of the speakers (in any of its usual
     spellings, small typing errors included) at the beginning of a line, after time marks and
     caption signs, before a colon or a dash; other colons are speech.  Hesitation sounds,
-    annotations, time marks and layout lines are no spoken words; speech before the first label
-    of a file has no speaker and is left out.
+    annotations (of up to 200 characters, in stars up to 80), time marks and layout lines are no
+    spoken words; speech before the first label of a file has no speaker and is left out.  With
+    ``split_at_pauses`` a turn also ends before a line after a calibrated pause (see :func:`pauses`),
+    and such a line is the place of what follows.
 
-    The lines are sorted by one range partitioning over (file, page), which parts a large file
-    among many tasks; each task sweeps over its sorted lines and drops repeated ones on the way.
-    Only what touches the two ends of a task (a bounded few rows each) is put together afterwards.
+    Labels are read line by line.  Then a sweep in order of (page, line) over blocks of pages
+    numbers the segments from label to label, the blocks' totals carry the numbers over a file,
+    and a sweep over the segments joins those of one speaker: the longest file is spread over as
+    many tasks as it has blocks, and what is gathered is the text of one turn.
 
     Null and blank lines say nothing; lines without file, page or line number are left out;
     files without a label give no turn; of lines with equal keys and different text the first in
     order of text counts; other columns are not read.
     """
-    spark = lines.sparkSession
-    rows = lines.select(F.col("file_idx").cast("int").alias("file_idx"), F.col("page_idx").cast("int").alias("page_idx"), F.col("line_no").cast("int").alias("line_no"), "line").where(
-        "file_idx is not null and page_idx is not null and line_no is not null")
-    layout = layout_lines(rows)
-    people = [tuple(r) for r in speakers.select("spk_id", "speaker_name", "first_name", "middle_name", "surname", "speaker_type").where("spk_id is not null").distinct().collect()]
-    shared = spark.sparkContext.broadcast((people, layout))  # a cast is a dimension: one row a person
-    ordered = rows.where("trim(line) <> ''").repartitionByRange("file_idx", "page_idx").sortWithinPartitions("file_idx", "page_idx", "line_no", "line")
-
-    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        cast, layout = Cast(shared.value[0]), shared.value[1]
-        turns, last = _Turns(), None
-        orphan: list[str] = []  # lines before the first label here, of the first file
-        orphan_file = None
-        labelled = False
-        out: list[tuple] = []
-        runs = 0
-        for b in batches:
-            for file, page, no, line in zip(*(b.column(i).to_pylist() for i in range(4))):
-                if (file, page, no) == last:
-                    continue
-                if last is None:
-                    orphan_file = file
-                last = (file, page, no)
-                if _LAYOUT.match(line) or regex.sub(r"\d+", "9", line).strip().lower() in layout:
-                    continue
-                hit = split_label(line, cast)
-                if hit:
-                    labelled = labelled or file == orphan_file
-                    turns.label(file, page, no, *hit)
-                elif not turns.more(file, [line]) and file == orphan_file and not labelled:
-                    orphan.append(line)
-            for run in turns.take():
-                out.append((part, runs, "run", *run[:4], " ".join(run[4]), False))
-                runs += 1
-            # all but the first run are whole: the last one of a task is still held back
-            while len(out) > 1:
-                x = out.pop(1)
-                yield _batch([(x[0], x[1], "whole", *x[3:])])
-        tail = []
-        if turns.open is not None and turns.run is not None and turns.run[0] != turns.open[0]:
-            turns.finish()
-            for run in turns.take():
-                out.append((part, runs, "run", *run[:4], " ".join(run[4]), False))
-                runs += 1
-        if turns.run is not None:
-            run = turns.run
-            tail.append((part, runs, "run", *run[:4], " ".join(run[4]), False))
-            runs += 1
-        if turns.open is not None:
-            o = turns.open
-            tail.append((part, runs + 1, "open", *o[:4], "\n".join(o[4]), False))
-        for x in out[1:]:
-            yield _batch([(x[0], x[1], "whole", *x[3:])])
-        first = out[:1]
-        if first:  # a run that is not the last here: nothing after it can join it
-            first = [(*first[0][:8], True)]
-        head = [(part, -1, "orphan", orphan_file, None, None, None, "\n".join(orphan), False)] if orphan else []
-        if head or first or tail:
-            yield _batch([*head, *first, *tail])
-
-    def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = _Turns()
+    rows = _keyed(lines)
+    parsed = cut(_parsed(rows, speakers))
+    layout = cut(page_layout(rows))
+    placed = parsed.withColumn("block", F.floor(F.col("page_idx") / BLOCK)).repartition("file_idx", "block").groupBy("file_idx", "block", *_ORDER).agg(
+        F.min("line").alias("line"), *[F.min_by(c, "line").alias(c) for c in ("spk_id", "rest", "known")])
+    page = W.partitionBy("file_idx", "block", "page_idx")
+    at, n = F.row_number().over(page.orderBy("line_no")), F.count("*").over(page)
+    placed = placed.withColumn("edge", (at <= 2) | (at > n - 2)).join(layout, ["file_idx", "block"], "left").where(
+        ~F.col("known") & ~F.coalesce(F.col("edge") & F.array_contains("layout", _norm(F.col("line"))), F.lit(False)))
+    placed = placed.select("file_idx", "block", *_ORDER, F.expr("substring(line, rest + 1)").alias("text"), "spk_id", F.col("spk_id").isNotNull().cast("int").alias("label"))
+    if split_at_pauses:
+        placed = placed.join(_pauses(parsed).withColumn("paused", F.lit(1)).drop("pause"), ["file_idx", *_ORDER], "left").withColumn("paused", F.coalesce("paused", F.lit(0)))
+    else:
+        placed = placed.withColumn("paused", F.lit(0))
+    numbered = _counted(placed.withColumn("begins", F.greatest("label", "paused")), "label", "begins").where("label > 0")
+    piece = F.struct(*_ORDER, "text")
+    segments = numbered.groupBy("file_idx", "label", "begins").agg(
+        F.min(F.struct(*_ORDER)).alias("place"), F.min("spk_id").alias("spk_id"), F.max("paused").alias("paused"), F.sort_array(F.collect_list(piece)).alias("pieces"))
+
+    def say(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                file, text = r["file_idx"], r["text"]
-                if r["kind"] == "orphan":
-                    turns.more(file, text.split("\n"))
-                    continue
-                turns.settle()
-                if turns.run is not None and turns.run[0] != file:
-                    turns.finish()
-                if r["kind"] == "run":
-                    turns.add(file, r["page_idx"], r["line_no"], r["spk_id"], text)
-                    if r["cut"]:
-                        turns.finish()
-                else:
-                    turns.label(file, r["page_idx"], r["line_no"], r["spk_id"], "")
-                    turns.open[4] = text.split("\n")
-            yield _batch([(0, 0, "whole", *run[:4], " ".join(run[4]), False) for run in turns.take()])
-        turns.settle()
-        turns.finish()
-        yield _batch([(0, 0, "whole", *run[:4], " ".join(run[4]), False) for run in turns.take()])
-
-    swept = cut(ordered.mapInArrow(sweep, _SCHEMA))
-    ends = swept.where("kind <> 'whole'").repartition(1).sortWithinPartitions("part", "idx").mapInArrow(stitch, _SCHEMA)
-    return swept.where("kind = 'whole'").unionByName(ends).select("file_idx", "page_idx", "line_no", "spk_id", "text")
+            text = [spoken(join_captions(x)) for x in b.column(6).to_pylist()]
+            kept = pa.array([_has_words(t) for t in text])
+            yield pa.RecordBatch.from_arrays([*(c.filter(kept) for c in b.columns[:6]), pa.array(text, pa.string()).filter(kept)], [*b.schema.names[:6], "text"])
+
+    said = segments.select("file_idx", "place.page_idx", "place.line_no", "label", "spk_id", "paused", F.col("pieces.text").alias("text"))
+    said = said.mapInArrow(say, "file_idx int, page_idx int, line_no int, label bigint, spk_id string, paused int, text string")
+    if split_at_pauses:  # what follows a pause is said by the speaker of the last label
+        own = numbered.where("spk_id is not null").select("file_idx", "label", F.col("spk_id").alias("_own"))
+        said = said.join(own, ["file_idx", "label"]).withColumn("spk_id", F.col("_own")).drop("_own")
+    said = cut(said.withColumn("block", F.floor(F.col("page_idx") / BLOCK)))
+    turned = _previous(said, "spk_id", "_before").withColumn("turn", F.when((F.col("spk_id") == F.col("_before")) & (F.col("paused") == 0), 0).otherwise(1))
+    turns = _counted(turned.drop("_before"), "turn").groupBy("file_idx", "turn").agg(
+        F.min(F.struct(*_ORDER)).alias("place"), F.min("spk_id").alias("spk_id"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda x: x["text"]), " ").alias("text"))
+    return turns.select("file_idx", "place.page_idx", "place.line_no", "spk_id", "text")

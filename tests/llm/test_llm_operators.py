@@ -13,7 +13,7 @@ from stenoloom.llm.leakage import leaks, longest_passage, passage_words
 from stenoloom.llm.name_variants import Speller, name_groups, name_pairs, parse
 from stenoloom.llm.page_repair import Repairer, line_form, page_findings, page_number, page_paragraphs
 from stenoloom.llm.sentences import Splitter, count_events, learn, sentence_ends
-from stenoloom.llm.speaker_turns import Cast, join_captions, speaker_turns, split_label, spoken
+from stenoloom.llm.speaker_turns import Cast, join_captions, overlap, pauses, speaker_turns, split_label, spoken
 from stenoloom.llm.term_frequency import term_bitmaps, term_statistics
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -69,6 +69,31 @@ def test_labels_and_captions():
     assert spoken("Um, [NO AUDIO] yes err... {noise} 00:01:02 no") == "yes no"
     assert join_captions(["we say that the", "say that the case fails", "case fails"]) == "we say that the say that the case fails case fails"
     assert join_captions(["a b c d e", "b c d e f"]) == "a b c d e f"
+    long = [f"w{k}" for k in range(60)]
+    assert join_captions([" ".join(long[:55]), " ".join(long[5:])]).split() == long  # no bound on the overlap
+    rnd = random.Random(1)
+    for _ in range(300):
+        x, y = ([rnd.choice("ab") for _ in range(rnd.randrange(9))] for _ in range(2))
+        assert overlap(x, y) == max(k for k in range(min(len(x), len(y)) + 1) if x[len(x) - k :] == y[:k])
+
+
+def test_layout_of_one_file(spark):
+    # the header of one file is layout there whatever else the collection holds; elsewhere it is speech
+    one = [x for k in range(8) for x in ("Halvin Matter Record", f"KELSO: yes {k}", "TALVINATH:")]
+    other = ["KELSO:", "Halvin Matter Record", "and so"]
+    data = _script(spark, one) + _script(spark, other, 2) + [(f, p, k, f"word {f} {p} {k}", 0, 0, "z") for f in range(10, 60) for p in range(1, 4) for k in range(1, 9)]
+    got = rows(speaker_turns(spark.createDataFrame(data, SCHEMA), _cast(spark)).where("file_idx < 10"))
+    assert got == [(1, 1, 2, "s1", " ".join(f"yes {k}" for k in range(8))), (2, 1, 1, "s1", "Halvin Matter Record and so")]
+
+
+def test_pauses(spark):
+    text = [f"[00:0{k // 6}:{10 * (k % 6):02d}] KELSO: a" for k in range(20)] + ["[00:30:00] b", "[00:30:10] c", "d"]
+    back = [f"[00:{50 - k}:00] KELSO: a" for k in range(20)]
+    df = spark.createDataFrame(_script(spark, text) + _script(spark, back, 2), SCHEMA)
+    assert rows(pauses(df)) == [(1, 7, 3, 1610)]  # 00:03:10 to 00:30:00; file 2 has no time axis
+    got = rows(speaker_turns(df, _cast(spark), split_at_pauses=True).select("file_idx", "page_idx", "line_no", "spk_id", "text"))
+    assert got == [(1, 1, 1, "s1", " ".join("a" * 20)), (1, 7, 3, "s1", "b c d"), (2, 1, 1, "s1", " ".join("a" * 20))]
+    assert pauses(df.limit(0)).count() == 0
 
 
 # 2 golden records
