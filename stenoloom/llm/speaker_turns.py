@@ -190,9 +190,9 @@ def page_layout(rows: DataFrame, share: float = 0.1, least: int = 3) -> DataFram
     """(file_idx, block, layout): lines (digits as 9, small) that are layout in a block of pages.
 
     A line is layout in a block when it stands among the first or last two of at least ``share``
-    of the block's pages, and of at least ``least``; and at the edges of any block when it is so
-    in ``least`` files, as the lines of a transcription service are.  How large the rest of the
-    collection is makes no difference to a file.
+    of the block's pages, and of at least ``least``; and in any block when it is so in ``least``
+    files and in a quarter of those with it at an edge, as the lines of a transcription service
+    are.  How large the rest of the collection is makes no difference to a file.
     """
     block = F.floor(F.col("page_idx") / BLOCK).alias("block")
     said = rows.select("file_idx", block, "page_idx", F.struct("line_no", _norm(F.col("line")).alias("l")).alias("x"))
@@ -201,7 +201,8 @@ def page_layout(rows: DataFrame, share: float = 0.1, least: int = 3) -> DataFram
     size = pages.groupBy("file_idx", "block").agg(F.count("*").alias("pages"))
     edges = pages.select("file_idx", "block", F.explode("edges").alias("l")).where(~F.col("l").rlike(r"[:>]$")).groupBy("file_idx", "block", "l").agg(F.count("*").alias("n"))
     edges = cut(edges.join(size, ["file_idx", "block"]).withColumn("own", (F.col("n") >= least) & (F.col("n") >= share * F.col("pages"))))
-    common = edges.where("own").groupBy("l").agg(F.count_distinct("file_idx").alias("files")).where(F.col("files") >= least)
+    files = edges.groupBy("l", "file_idx").agg(F.max("own").cast("int").alias("own")).groupBy("l").agg(F.sum("own").alias("owners"), F.count("*").alias("files"))
+    common = files.where((F.col("owners") >= least) & (F.col("owners") * 4 >= F.col("files")))
     found = lookup_join(edges, common, "l").where(F.col("own") | F.col("files").isNotNull())
     return found.groupBy("file_idx", "block").agg(F.collect_set("l").alias("layout"))
 
@@ -316,7 +317,7 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, split_at_pauses: bool =
     page = W.partitionBy("file_idx", "block", "page_idx")
     at, n = F.row_number().over(page.orderBy("line_no")), F.count("*").over(page)
     placed = placed.withColumn("edge", (at <= 2) | (at > n - 2)).join(layout, ["file_idx", "block"], "left").where(
-        ~F.col("known") & ~F.coalesce(F.col("edge") & F.array_contains("layout", _norm(F.col("line"))), F.lit(False)))
+        ~F.col("known") & ~F.coalesce(F.col("edge") & F.col("spk_id").isNull() & F.array_contains("layout", _norm(F.col("line"))), F.lit(False)))
     placed = placed.select("file_idx", "block", *_ORDER, F.expr("substring(line, rest + 1)").alias("text"), "spk_id", F.col("spk_id").isNotNull().cast("int").alias("label"))
     if split_at_pauses:
         placed = placed.join(_pauses(parsed).withColumn("paused", F.lit(1)).drop("pause"), ["file_idx", *_ORDER], "left").withColumn("paused", F.coalesce("paused", F.lit(0)))
