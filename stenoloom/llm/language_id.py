@@ -70,49 +70,45 @@ class ContextTree:
                 c = key[:-1]
                 self.bits[key] = log2((total[c] + distinct[c]) / n)
 
-    def length(self, tok: bytes, enough: float = float("inf")) -> float:
-        """Exact code length of a word in bits; any value above ``enough`` where it is above that."""
-        bits, escape, out = self.bits, self.escape, 0.0
-        for i in range(1, len(tok) + 1):
-            end = tok[i : i + 1] or b" "
-            for k in range(min(ORDER, i), -1, -1):
-                c = tok[i - k : i]
-                b = bits.get(c + end)
+    def length(self, tok: bytes) -> float:
+        """Code length of a word in bits."""
+        bits, escape, out, top = self.bits, self.escape, 0.0, 0
+        tok += b" "  # a word ends with a space
+        for i in range(1, len(tok)):
+            # a context that occurs begins with one that occurs, so the longest grows by one at most
+            top = min(ORDER, top + 1)
+            while tok[i - top : i] not in escape and top:
+                top -= 1
+            for k in range(top, -1, -1):
+                b = bits.get(tok[i - k : i + 1])
                 if b is not None:
                     out += b
                     break
-                out += escape.get(c, 0.0)
+                out += escape.get(tok[i - k : i], 0.0)
             else:
                 out += 8.0
-            if out > enough:
-                break
         return out
 
 
 class Models:
-    """The trees of all languages and a memory of the words coded last."""
+    """The trees of all languages and a memory of the words coded last.
 
-    def __init__(self, trees: dict[str, ContextTree]):
+    ``scale`` says how many bits of difference count as one: code lengths of bytes that depend on
+    each other overstate what a text tells, by a factor that is fitted where texts are held out.
+    """
+
+    def __init__(self, trees: dict[str, ContextTree], scale: float = 1.0):
         self.languages = sorted(trees)
         self.trees = [trees[x] for x in self.languages]
+        self.scale = scale
         self.known: dict[bytes, np.ndarray] = {}
-        self.last = 0
 
     def lengths(self, tok: bytes) -> np.ndarray:
         v = self.known.get(tok)
         if v is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            # a stray character or a single foreign term weighs little against a sentence: lengths
-            # count up to so much above the shortest, and need not be followed further
-            most = 4 + 4 * len(tok.decode())
-            v = np.empty(len(self.trees))
-            shortest = float("inf")
-            for i in (self.last, *(i for i in range(len(self.trees)) if i != self.last)):
-                v[i] = self.trees[i].length(tok, shortest + most)
-                if v[i] < shortest:
-                    shortest, self.last = v[i], i
-            v = np.minimum(v, shortest + most)
+            v = np.array([tree.length(tok) for tree in self.trees])
             if len(tok) <= 64:
                 self.known[tok] = v
         return v
@@ -151,17 +147,32 @@ class Models:
         for i in range(1, len(lang) + 1):
             if i == len(lang) or lang[i] != lang[begin]:
                 total = cost[begin:i].sum(0)
-                odds = np.exp2(np.maximum(total[lang[begin]] - total, -1000.0))
+                odds = np.exp2(np.maximum((total[lang[begin]] - total) / self.scale, -1000.0))
                 out.append((self.languages[lang[begin]], float(1 / odds.sum()), i - begin))
                 begin = i
         return out
 
 
-def train(rows: list[tuple[str, str]]) -> dict[str, ContextTree]:
-    """Trees from (label, text) rows of which some labels are wrong.
+#: Scales of confidence that are tried.
+SCALES = tuple(2.0 ** (k / 4) for k in range(0, 33))
+
+
+def fitted_scale(lengths: list[tuple[np.ndarray, int]]) -> float:
+    """The scale under which the true languages of (code lengths, its number) are the least surprise."""
+    if not lengths:
+        return 1.0
+    gain = np.array([v[k] - v for v, k in lengths])  # bits for the true language against each
+    loss = [np.log2(np.exp2(np.clip(gain / s, -1000, 1000)).sum(1)).mean() for s in SCALES]
+    return SCALES[int(np.argmin(loss))]
+
+
+def train(rows: list[tuple[str, str]]) -> tuple[dict[str, ContextTree], float]:
+    """(trees, scale of confidence) from (label, text) rows of which some labels are wrong.
 
     Each half of the rows is judged by trees of the other half; a row stays only if it gets
     its own label, a language only if most of its rows stay.  The final trees are of what stays.
+    The scale is fitted to the single sentences of the rows that stay and are in one language, as
+    they are judged by the half they are not in.
     """
     def trees(some: list[tuple[str, str]]) -> dict[str, ContextTree]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -171,6 +182,7 @@ def train(rows: list[tuple[str, str]]) -> dict[str, ContextTree]:
 
     kept: list[tuple[str, str]] = []
     seen: Counter = Counter()
+    told: list[tuple[np.ndarray, int]] = []
     for odd in (0, 1):
         judge = trees(rows[odd::2])
         if not judge:
@@ -178,11 +190,16 @@ def train(rows: list[tuple[str, str]]) -> dict[str, ContextTree]:
         models = Models(judge)
         for code, text in rows[1 - odd :: 2]:
             seen[code] += 1
-            if models.best(text) == code:
+            lengths = models.sentences(text)
+            if len(lengths) and models.languages[int(lengths.sum(0).argmin())] == code:
                 kept.append((code, text))
+                if len(models.stretches(text)) == 1:
+                    told += [(v, models.languages.index(code)) for v in lengths]
     stay = Counter(c for c, _ in kept)
     good = {c for c in seen if stay[c] * 2 > seen[c]}
-    return trees([r for r in kept if r[0] in good] or rows)
+    most = max((len(v) for v, _ in told), default=0)
+    told = [x for x in told if len(x[0]) == most]  # where one half lacks a language its lengths are no comparison
+    return trees([r for r in kept if r[0] in good] or rows), fitted_scale(told)
 
 
 def _pieces(text: str, longest: int) -> Iterator[str]:
@@ -227,7 +244,8 @@ def stretches(docs: DataFrame, key: str, text: str, lang: str, sample: int = 200
     """(key, label, seg_no, lang, confidence, n_sentences, is_case): every stretch of every text.
 
     ``label`` is the code that the column ``lang`` names (null: none), ``lang`` the code found,
-    ``confidence`` its share of the probability over all languages by code length, ``is_case``
+    ``confidence`` its share of the probability over all languages by code length, on the scale
+    that held-out sentences fit, ``is_case``
     whether the document's label is missing or wrong or its text in several languages.  The trees
     are fitted to a bounded sample of the labelled rows (see :func:`training_rows`), all rows
     are judged whole.  Null, empty and wordless texts have no stretch; repeated rows repeat
@@ -239,7 +257,7 @@ def stretches(docs: DataFrame, key: str, text: str, lang: str, sample: int = 200
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = Models(shared.value) if shared.value else None
+        models = Models(*shared.value) if shared.value[0] else None
         for b in batches:
             rows, out = [], []
             for i, (t, label) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
