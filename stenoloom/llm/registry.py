@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from stenoloom.llm.bpe_lexicon import encode
 from stenoloom.llm.components import connected_groups
-from stenoloom.llm.golden_record import golden_records
+from stenoloom.llm.golden_record import PLACEHOLDERS, golden_records
+from stenoloom.llm.golden_record import TITLES as NAME_TITLES
 from stenoloom.llm.language_id import stretches, wrong_labels
 from stenoloom.llm.leakage import leaks
 from stenoloom.llm.name_variants import name_groups, name_pairs
@@ -117,8 +118,34 @@ marked AS (
 """
 
 
+_BEST = rf"""
+WITH r AS (SELECT DISTINCT record_id, grp, speaker_name, title, first_name, middle_name, surname, total_words, coalesce(reviewed, 0) AS rev, updated_at AS ts, file_count, shortest_segment, longest_segment FROM speaker_records),
+u AS (SELECT *, upper(trim(speaker_name)) AS u FROM r WHERE speaker_name IS NOT NULL),
+s AS (SELECT grp, speaker_name, max(rev) AS rev, count(*) AS n, max(ts) AS ts FROM u
+  WHERE regexp_full_match(u, '[\pL\pM.,''’ -]+') AND NOT contains(u, '..') AND regexp_matches(u, '\pL') AND string_split(replace(u, '.', ''), ' ')[1] NOT IN ({", ".join(f"'{x}'" for x in PLACEHOLDERS)})
+  GROUP BY ALL),
+v AS (SELECT grp, part, value, max(rev) AS rev, count(*) AS n FROM (SELECT grp, rev, unnest(['title', 'first', 'middle', 'surname']) AS part,
+  unnest([upper(trim(title)), upper(trim(first_name)), upper(trim(middle_name)), upper(trim(surname))]) AS value FROM r) WHERE value <> '' GROUP BY ALL),
+best AS (SELECT grp, max(value) FILTER (WHERE part = 'title') AS title, max(value) FILTER (WHERE part = 'first') AS f, max(value) FILTER (WHERE part = 'middle') AS m, max(value) FILTER (WHERE part = 'surname') AS l
+  FROM (SELECT *, row_number() OVER (PARTITION BY grp, part ORDER BY rev DESC, n DESC, value DESC) AS k FROM v) WHERE k = 1 GROUP BY grp),
+w AS (SELECT *, list_transform(list_filter(regexp_split_to_array(upper(speaker_name), '\s+'), lambda x: x <> ''), lambda x: regexp_replace(x, '[.,]+$', '')) AS w FROM s),
+t AS (SELECT w.*, coalesce(w[1] IN ({", ".join("'" + x.replace("'", "''") + "'" for x in NAME_TITLES)}), false) AS titled, best.* EXCLUDE (grp) FROM w LEFT JOIN best ON w.grp IS NOT DISTINCT FROM best.grp),
+p AS (SELECT *, list_filter(CASE WHEN titled THEN w[2:] ELSE w END, lambda x: length(x) > 1) AS fw,
+  list_filter([f, m, l], lambda x: x IS NOT NULL) AS held, list_filter(regexp_split_to_array(concat_ws(' ', f, m, l), '\s+'), lambda x: x <> '') AS pw FROM t),
+c AS (SELECT *, len(fw) AS k, len(list_filter(list_distinct(fw), lambda x: list_contains(held, x))) AS agreed,
+  len(list_filter(regexp_split_to_array(coalesce(l, ''), '\s+'), lambda x: x <> '' AND NOT list_contains(fw, x))) > 0 AND len(fw) > 0 AND NOT list_contains(pw, fw[-1]) AS bad_l,
+  len(list_filter(regexp_split_to_array(coalesce(f, ''), '\s+'), lambda x: x <> '' AND NOT list_contains(fw, x))) > 0 AND len(fw) > 1 AND NOT list_contains(pw, fw[1]) AS bad_f,
+  len(list_filter(regexp_split_to_array(coalesce(m, ''), '\s+'), lambda x: x <> '' AND NOT list_contains(fw, x))) > 0 AND len(list_filter(fw[2:len(fw) - 1], lambda x: NOT list_contains(pw, x))) > 0 AS bad_m
+  FROM p),
+chosen AS (SELECT grp, speaker_name FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY (len(held) = 0 OR agreed > 0) AND NOT bad_l AND NOT bad_f AND NOT bad_m DESC, k + titled::INT DESC, rev DESC, agreed DESC,
+  coalesce((titled AND w[1] = regexp_replace(title, '[.]+$', ''))::INT, 0) DESC, n DESC, ts DESC NULLS LAST, speaker_name DESC) AS place FROM c) WHERE place = 1),
+counts AS (SELECT grp, total_words FROM (SELECT grp, total_words, row_number() OVER (PARTITION BY grp ORDER BY ts DESC NULLS LAST, total_words DESC) AS place FROM r WHERE total_words BETWEEN 1 AND 50000000) WHERE place = 1)
+SELECT g.grp, speaker_name, total_words FROM (SELECT DISTINCT grp FROM r) g LEFT JOIN chosen ON g.grp IS NOT DISTINCT FROM chosen.grp LEFT JOIN counts ON g.grp IS NOT DISTINCT FROM counts.grp"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_found": _BEST,
         "p3_terms": _TERMS + "SELECT * FROM marked",
         "p3_found": _TERMS + "SELECT category, token, mark FROM marked WHERE mark IS NOT NULL",
         "p5_found": """

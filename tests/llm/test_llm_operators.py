@@ -123,6 +123,22 @@ def test_name_and_parts_agree(spark):
     assert got == [("a", "DR. IVAN LEO KELSO", "IVAN", "LEO", "KELSO"), ("b", "NORA MEERA RAO", "NORA", "MEERA", "RAO")]
 
 
+def test_search_prunes(spark):
+    from stenoloom.llm.golden_record import candidates, search
+
+    # the fullest spelling contradicts the voted surname; of the rest only what could beat the first is tried
+    spell = spark.createDataFrame(
+        [("a", False, x, 0, n, None) for x, n in (("MR. IVAN LEO BRAN KELVIN", 9), ("MR. IVAN KELSO", 1), ("IVAN KELSO", 5), ("KELSO", 7))] + [("b", False, x, 0, n, None) for x, n in (("MS. NORA RAO", 1), ("NORA RAO", 9), ("RAO", 3))],
+        "g string, g0 boolean, speaker_name string, rev int, n bigint, at timestamp")
+    voted = spark.createDataFrame([("a", False, None, "IVAN", None, "KELSO"), ("b", False, "MS.", "NORA", None, "RAO")], "g string, g0 boolean, title string, first_name string, middle_name string, surname string")
+    best, rest = search(candidates(spell), voted)
+    assert {(r.g, r.speaker_name) for r in best.collect()} == {("a", "MR. IVAN KELSO"), ("b", "MS. NORA RAO")}
+    assert {r.g for r in rest.collect()} == {"a"}
+    r = lambda k, name, first, last, rev: (k, "g", name, None, first, None, last, 5, 1, 1, 9, rev, None, "x", 1)
+    got = golden_records(spark.createDataFrame([r(1, None, "IVAN", "KELSO", 1), r(2, "MR. IVAN LEO BRAN KELVIN", None, None, 0)], REC)).first()
+    assert (got.speaker_name, got.first_name, got.surname) == ("MR. IVAN LEO BRAN KELVIN", "IVAN", None)  # no record that no source holds
+
+
 # 3 term frequency
 
 TF = "file_idx int, category string, token string, frequency bigint, loaded_at string, block int, bits int"
@@ -373,7 +389,7 @@ def test_languages(spark):
     held = [(c, _doc(c, rnd)) for c in TEXT for _ in range(50)]
     from stenoloom.llm.language_id import Models
 
-    models = Models(train([(c, t) for _, t, c in data]))
+    models = Models(*train([(c, t) for _, t, c in data]))
     assert sum(models.best(t) == c for c, t in held) == len(held)  # held-out accuracy
     codes = spark.createDataFrame([("En",), ("en-001",), ("pt_BR",), ("xx",), ("unknown",), ("",), (None,)], "l string").select(language_code(F.col("l")).alias("c")).collect()
     assert [r.c for r in codes] == ["en", "en", "pt", None, None, None, None]
