@@ -11,12 +11,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stenoloom.operators.order import spread
+from stenoloom.operators.skew import lookup_join
 from stenoloom.plans.durable import cut
 
 HYPHENS = "-‐‑¬­"
 #: How many lines from either edge of a page may be furniture.
 EDGE = 3
 BLOCK = 8
+#: Most words a worker holds of the word list; longer lists are refused, not cut.
+MOST_WORDS = 2_000_000
 
 # What scanning takes for what (read : right).
 CONFUSIONS = (
@@ -72,14 +76,16 @@ def _edges(lines: list[str]) -> list[int]:
     return sorted(set(full[:EDGE] + full[-EDGE:]))
 
 
-def furniture_forms(pages: DataFrame, page: str) -> DataFrame:
-    """(block, file_idx, forms, off): the repeated edge lines of each block of pages and how its
-    printed page numbers differ from the page count.
+def furniture_forms(pages: DataFrame, page: str, files: int = 3) -> DataFrame:
+    """(block, forms, offs): the repeated edge lines of each block of pages and how its printed
+    page numbers differ from the page count.
 
     A block is BLOCK pages of one file, and every page is in two blocks that overlap by half, as
     one file may hold many records with headers of their own.  A form is furniture of a block
-    when it stands near an edge on two of its pages or more.  Blocks are small whatever the
-    size of a file, so neither a large file nor its lists of forms weigh on one task.
+    when it stands near an edge on two of its pages or more; on half of its pages where it ends as
+    running text may; or on one, when it is furniture of ``files`` files and of a quarter of those
+    that have it near an edge.  Blocks are small whatever the size of a file or of the collection,
+    so neither weighs on one task, and forms reach pages by their block and not through the driver.
     """
     def edge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -90,19 +96,23 @@ def furniture_forms(pages: DataFrame, page: str) -> DataFrame:
                     n = page_number(lines[i])
                     form = "" if n else line_form(lines[i])
                     off = n[0] - no if n and no is not None else None
-                    if off is not None or form and not _GOES_ON.search(lines[i]):
-                        out.append((file, no, form, off))
-            cols = list(zip(*out)) or [[]] * 4
+                    if off is not None or form:
+                        out.append((file, no, form, off, bool(form and _GOES_ON.search(lines[i]))))
+            cols = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64()))], ["file_idx", "page_idx", "form", "off"])
+                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.bool_()))], ["file_idx", "page_idx", "form", "off", "runs"])
 
-    rows = pages.select("file_idx", "page_idx", page).mapInArrow(edge, "file_idx int, page_idx int, form string, off bigint").where("page_idx is not null")
+    rows = spread(pages.select("file_idx", "page_idx", page)).mapInArrow(edge, "file_idx int, page_idx int, form string, off bigint, runs boolean").where("page_idx is not null")
     both = rows.select("*", F.explode(F.array(*_blocks())).alias("block"))
-    counted = both.groupBy("block", "file_idx", "form", "off").agg(F.count_distinct("page_idx").alias("n")).where("n >= 2")
-    return counted.groupBy("block").agg(
-        F.first("file_idx").alias("file_idx"),
-        F.sort_array(F.collect_set(F.when(F.col("form") != "", F.col("form")))).alias("forms"),
-        F.max(F.when(F.col("off").isNotNull(), F.struct("n", "off"))).getField("off").alias("off"))
+    counted = cut(both.groupBy("block", "file_idx", "form", "off").agg(F.count_distinct("page_idx").alias("n"), F.min("runs").alias("runs")).withColumn(
+        "own", (F.col("n") >= 2) & (~F.col("runs") | (F.col("n") >= BLOCK // 2))))
+    forms = counted.where("form <> ''")
+    shared = forms.groupBy("form", "file_idx").agg(F.max("own").cast("int").alias("own")).groupBy("form").agg(F.sum("own").alias("owners"), F.count("*").alias("held"))
+    shared = shared.where((F.col("owners") >= files) & (F.col("owners") * 4 >= F.col("held"))).select("form", F.lit(True).alias("common"))
+    found = lookup_join(forms, shared, "form").where("own or common").select("block", "form", F.lit(None).cast("bigint").alias("off"))
+    numbers = counted.where("off is not null and n >= 2").groupBy("block").agg(F.max(F.struct("n", "off")).getField("off").alias("off")).select(
+        "block", F.lit(None).cast("string").alias("form"), "off")
+    return found.unionByName(numbers).groupBy("block").agg(F.sort_array(F.collect_set("form")).alias("forms"), F.max("off").alias("off"))
 
 
 def _blocks() -> list:
@@ -113,21 +123,47 @@ def _blocks() -> list:
     return [key("a", 0), key("b", BLOCK // 2)]
 
 
-def common_forms(forms: DataFrame, files: int = 3) -> set[str]:
-    """Forms that are furniture in at least ``files`` files and in one file of 200; by that share
-    there are at most 200 times the forms of a file's blocks."""
-    n = max(1, forms.agg(F.count_distinct("file_idx").alias("n")).first()["n"])
-    rows = forms.select("file_idx", F.explode("forms").alias("form")).groupBy("form").agg(F.count_distinct("file_idx").alias("n")).where(
-        (F.col("n") >= files) & (F.col("n") * 200 >= n))
-    return {r["form"] for r in rows.collect()}
+def cut_words(lines: list[str]) -> Iterator[tuple[str, str, str]]:
+    """(first part, second part, mark) of the words cut at ends of lines."""
+    full = [x.split() for x in lines if x.strip()]
+    for one, two in zip(full, full[1:]):
+        last = one[-1]
+        if last[-1] in HYPHENS and len(last) > 1 and last[-2].isalnum():
+            yield last.rstrip(HYPHENS), two[0], last[-1]
+
+
+def word_counts(pages: DataFrame, page: str) -> DataFrame:
+    """(word, n): how often each word stands whole in the pages, in lower case without marks at its ends."""
+    words = F.split(F.lower(F.col(page)), r"(?U)\s+")
+    ends = f"[{regex.escape(_MARKS)}*–—]+"
+    return pages.select(F.explode(words).alias("w")).select(F.regexp_replace("w", f"^{ends}|{ends}$", "").alias("word")).where(
+        f"word <> '' and not rlike(word, '[{HYPHENS}]$')").groupBy("word").agg(F.count("*").alias("n"))
+
+
+def counted_cuts(pages: DataFrame, page: str) -> DataFrame:
+    """(page_id, counts): of the cut words of each page how often they stand whole in all pages,
+    joined and with a hyphen."""
+    of_key = pages.schema["page_id"].dataType.simpleString()
+
+    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                for form in {plain(x) for h, t, _ in cut_words((text or "").split("\n")) for x in (h + t, h + "-" + t)}:
+                    at.append(i)
+                    out.append(form)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], ["page_id", "word"])
+
+    wanted = cut(spread(pages.where("page_id is not null").select("page_id", page)).mapInArrow(cuts, f"page_id {of_key}, word string"))
+    counts = wanted.select("word").distinct().join(word_counts(pages, page), "word")
+    return lookup_join(wanted, counts, "word", how="inner").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "n"))).alias("counts"))
 
 
 class Repairer:
     """Finds and mends the noise of one page."""
 
-    def __init__(self, vocabulary: list[str], common: set[str]):
+    def __init__(self, vocabulary: list[str]):
         self.words = {w.lower() for w in vocabulary if w}
-        self.common = common
         self.known: dict[tuple[str, bool], str | None] = {}
         reads = defaultdict(list)
         for a, b in CONFUSIONS:
@@ -177,8 +213,8 @@ class Repairer:
                 return found.pop()
         return None
 
-    def furniture(self, lines: list[str], page_idx: int | None, forms: list[str], off: int | None) -> set[int]:
-        own = set(forms) | self.common
+    def furniture(self, lines: list[str], page_idx: int | None, forms: list[str], offs: list[int]) -> set[int]:
+        own = set(forms)
         full = [i for i, x in enumerate(lines) if x.strip()]
         out: set[int] = set()
         for order in (full[:EDGE], full[::-1][:EDGE]):
@@ -186,7 +222,7 @@ class Repairer:
                 line = lines[i]
                 n = page_number(line)
                 if n is not None:
-                    hit = n[1] or page_idx is not None and off is not None and n[0] - page_idx == off
+                    hit = n[1] or page_idx is not None and n[0] - page_idx in offs
                 else:
                     form = line_form(line)
                     hit = bool(form) and (form in own or len(form) > 5 and any(_alike(form, f) for f in own))
@@ -195,10 +231,10 @@ class Repairer:
                 out.add(i)
         return out
 
-    def page(self, text: str, page_idx: int | None, forms: list[str], off: int | None) -> tuple[list[tuple[int, str, str]], list[str]]:
+    def page(self, text: str, page_idx: int | None, forms: list[str], offs: list[int], counts: dict[str, int]) -> tuple[list[tuple[int, str, str]], list[str]]:
         """((line_no, kind, word), ...) and the repaired paragraphs."""
         lines = text.split("\n")
-        noise = self.furniture(lines, page_idx, forms, off)
+        noise = self.furniture(lines, page_idx, forms, offs)
         found = [(i + 1, "furniture", "") for i in sorted(noise)]
         paragraphs: list[list[str]] = [[]]
         carried = None  # first part of a cut word and its line
@@ -213,7 +249,7 @@ class Repairer:
             if carried is not None:
                 at, head, mark = carried
                 carried = None
-                whole = self._join(head, words[0], mark)
+                whole = self._join(head, words[0], mark, counts)
                 if whole is None:
                     paragraphs[-1].append(head + mark)
                 else:
@@ -242,9 +278,10 @@ class Repairer:
             paragraphs[-1].append(carried[1] + carried[2])
         return found, [" ".join(p) for p in paragraphs if p]
 
-    def _join(self, head: str, tail: str, mark: str) -> str | None:
-        """The word cut into ``head`` and ``tail``: joined if the vocabulary has it so, with a
-        hyphen if it has it so, otherwise joined unless the second part begins large."""
+    def _join(self, head: str, tail: str, mark: str, counts: dict[str, int]) -> str | None:
+        """The word cut into ``head`` and ``tail``: joined if the word list has it so, with a
+        hyphen if it has it so, else as it stands whole more often in the corpus; where it never
+        does, joined unless the second part begins large."""
         if not tail[:1].isalnum() and tail[:1] not in "!|":
             return None
         joined, kept = head + tail, head + "-" + tail
@@ -254,6 +291,9 @@ class Repairer:
         for whole in (joined, kept):
             if self.right(plain(whole), False):
                 return whole
+        seen = [counts.get(plain(whole), 0) for whole in (joined, kept)]
+        if seen[0] != seen[1]:
+            return joined if seen[0] > seen[1] else kept
         return kept if tail[:1].isupper() and mark == "-" else joined
 
 
@@ -287,25 +327,27 @@ def _repair(pages: DataFrame, vocabulary: DataFrame, text: str, paragraphs: bool
     spark = pages.sparkSession
     rows = pages.select("page_id", F.col("file_idx").cast("int").alias("file_idx"), F.col("page_idx").cast("int").alias("page_idx"), text)
     forms = cut(furniture_forms(rows, text))
-    common = common_forms(forms)
-    listed = sorted(r[0] for r in vocabulary.select("word").where("word is not null").distinct().collect())
-    shared = spark.sparkContext.broadcast((listed, common))  # a word list and a bounded set of forms
+    listed = sorted(r[0] for r in vocabulary.select("word").where("word is not null").distinct().take(MOST_WORDS + 1))
+    if len(listed) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} words in the list")
+    shared = spark.sparkContext.broadcast(listed)
     one, two = (forms.select(F.col("block").alias(k), F.col("forms").alias("forms_" + k), F.col("off").alias("off_" + k)) for k in "ab")
     a, b = _blocks()
-    keyed = rows.withColumn("a", a).withColumn("b", b).join(one, "a", "left").join(two, "b", "left")
-    joined = keyed.select(
-        "page_id", "page_idx", text,
-        F.array_union(F.coalesce("forms_a", F.array().cast("array<string>")), F.coalesce("forms_b", F.array().cast("array<string>"))).alias("forms"),
-        F.coalesce("off_a", "off_b").alias("off"))
+    # what belongs to a page is put together by its place, and meets the texts in one join
+    empty = F.array().cast("array<string>")
+    places = rows.select("file_idx", "page_idx").distinct().withColumn("a", a).withColumn("b", b).join(one, "a", "left").join(two, "b", "left").select(
+        "file_idx", "page_idx", F.array_union(F.coalesce("forms_a", empty), F.coalesce("forms_b", empty)).alias("forms"), F.array_compact(F.array("off_a", "off_b")).alias("offs"))
+    placed = rows.join(places.where("file_idx is not null and page_idx is not null"), ["file_idx", "page_idx"], "left")
+    joined = placed.join(counted_cuts(rows, text), "page_id", "left").select("page_id", "page_idx", text, "forms", "offs", "counts")
     of_key = pages.select("page_id").schema[0].dataType.simpleString()
     schema = f"page_id {of_key}, " + ("par_no int, text string" if paragraphs else "line_no int, kind string, word string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mend = Repairer(*shared.value)
+        mend = Repairer(shared.value)
         for b in batches:
             at, out = [], []
-            for i, (no, t, f, off) in enumerate(zip(*(b.column(k).to_pylist() for k in range(1, 5)))):
-                found, pars = mend.page(t, no, f or [], off) if t and not t.isspace() else ([], [])
+            for i, (no, t, f, offs, counts) in enumerate(zip(*(b.column(k).to_pylist() for k in range(1, 6)))):
+                found, pars = mend.page(t, no, f or [], offs or [], dict(counts or ())) if t and not t.isspace() else ([], [])
                 new = [(k + 1, p) for k, p in enumerate(pars)] if paragraphs else found
                 at += [i] * len(new)
                 out += new
@@ -323,10 +365,10 @@ def page_findings(pages: DataFrame, vocabulary: DataFrame, text: str) -> DataFra
     ``pages`` has page_id, file_idx, page_idx and the text column, ``vocabulary`` a column word.
     kind ``furniture``: a line near an edge that repeats (fuzzily) on a page nearby,
     or that is furniture of many files, or a page number in step with the page count; ``hyphen``:
-    a word cut at the end of the line, ``char``: a listed word misread, told by the confusions of
+    a word cut at the end of the line (a word cut at the end of a page stays cut), ``char``: a listed word misread, told by the confusions of
     scanning, or by the one listed word that differs in a single character.
-    Null, empty and blank pages have none; pages without a file count as one file; repeated rows
-    count once; other columns are not read.
+    Null, empty and blank pages have none; pages without a file or a number have no furniture that
+    repeats; repeated rows count once; other columns are not read.
     """
     return _repair(pages, vocabulary, text, False)
 
