@@ -30,6 +30,8 @@ JA_QUOTE_GOES_ON = ("と", "って", "を", "は", "が", "に", "で", "の", "
 
 _NUM = "##"
 _TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}.'’/-]*")
+_TOKEN_CHAR = regex.compile(r"[\p{L}\p{M}\p{N}.'’/-]")
+_SPACES, _LETTER = regex.compile(r"\s*"), regex.compile(r"[^\W\d_]")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['’-][\p{L}\p{M}\p{N}]+)*")
 _SCAN = regex.compile(r"\n[^\S\n]*(?:\n\s*)+|\.+|…+|[!?؟。！？｡।॥|։።]+|[“”„«»‹›「」『』()（）\[\]【】\"]|(?<=\p{Thai})\s+(?=\S)")
 _SCRIPTS = (("Deva", regex.compile(r"\p{Devanagari}")), ("Arab", regex.compile(r"\p{Arabic}")), ("Thai", regex.compile(r"\p{Thai}")),
@@ -145,11 +147,13 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
     strength = _llr(F.col("p"), F.col("total"), F.col("all_p") - F.col("p"), F.col("all_n") - F.col("total"))
     score = F.when(F.col("p") / F.col("total") > F.col("all_p") / F.col("all_n"), strength).otherwise(0.0)
     score = score * F.exp(-length) * inner * F.pow(length, -F.col("n"))
-    abbreviations = words.where((F.col("p") > 1) & (F.col("word") != _NUM) & (length <= 12)).withColumn("score", score).where("score > 0.3")
+    abbreviations = words.where((F.col("p") > 1) & (F.col("word") != _NUM)).withColumn("score", score).where("score > 0.3")
 
     pairs = events.where("kind = 'P'")
     known_low = words.select("lang", F.col("word").alias("nxt"), F.col("m"))
-    follow = pairs.join(abbreviations.select("lang", "word", "score"), by).join(known_low, ["lang", "nxt"], "left")
+    follow = pairs.join(abbreviations.select("lang", "word", "score"), by)
+    # ends of lines have no next word, and are most of the rows
+    follow = follow.where("nxt <> ''").join(known_low, ["lang", "nxt"], "left").unionByName(follow.where("nxt = ''").withColumn("m", F.lit(None).cast("bigint")))
     # followed by an end of line or text, or by a capital that this language also writes small: it ends sentences
     ends = (F.col("nxt") == "") | ((F.col("cas") == "u") & (F.coalesce("m", F.lit(0)) > 0))
     # scripts without capitals: abbreviations hardly ever stand last in a line
@@ -184,17 +188,21 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
         "lang", F.concat_ws(" ", "word", "nxt").alias("word"), "score")
     frequent = words.where(F.col("word") != _NUM).withColumn("score", F.col("total") / F.col("all_n"))
 
+    halves = [1 - 2.0**-k for k in range(40)]
+
     def strongest(df: DataFrame, kind: str, score: str, most: int, rate: str = "cast(0 as double)") -> DataFrame:
+        """The ``most`` strongest entries of each language; what lies under a quantile that leaves
+        more than them is gone before they are brought together."""
         ranked = df.selectExpr("lang", f"'{kind}' as kind", "word", f"{rate} as rate", f"cast({score} as double) as score")
-        return ranked.groupBy("lang", "kind").agg(F.sort_array(F.collect_list(F.struct("score", "word", "rate")), False).alias("x")).select(
-            "lang", "kind", F.slice("x", 1, most).alias("x")) if kind != "F" else (
-            ranked.where(F.col("score") > 1e-3).groupBy("lang", "kind").agg(F.sort_array(F.collect_list(F.struct("score", "word", "rate")), False).alias("x"))
-            .select("lang", "kind", F.slice("x", 1, most).alias("x")))
+        at = F.greatest(F.floor(F.log2(F.col("k") / most)), F.lit(0)).cast("int")
+        least = ranked.groupBy("lang").agg(F.count("*").alias("k"), F.percentile_approx("score", halves, 10_000).alias("q")).select("lang", F.get("q", at).alias("least"))
+        return ranked.join(F.broadcast(least), "lang").where("score >= least").groupBy("lang", "kind").agg(
+            F.sort_array(F.collect_list(F.struct("score", "word", "rate")), False).alias("x")).select("lang", "kind", F.slice("x", 1, most).alias("x"))
 
     model: dict = {}
     parts = [strongest(enders, "A", "score", model_size, "if(goes_on < 0.02 and rate > 0.3, 1.0, if(rate > 0.3, 0.5, 0.0))"),
              strongest(collocations, "D", "score", model_size), strongest(starters, "S", "score", model_size, "small"),
-             strongest(frequent, "F", "score", 150)]
+             strongest(frequent.where("score > 1e-3"), "F", "score", 150)]
     rows = parts[0]
     for x in parts[1:]:
         rows = rows.unionByName(x)
@@ -300,36 +308,43 @@ class Splitter:
     @staticmethod
     def _after_closed(text: str, z: int, at_start: bool, bracket: bool, low: bool) -> bool:
         """Whether a sentence ends with a quotation or bracket that closes at ``z`` after a final mark."""
-        rest = text[z : z + 400]
-        after = rest.lstrip()
-        if not after or "\n\n" in rest[: len(rest) - len(after)]:
+        at = _SPACES.match(text, z).end()
+        if at == len(text) or "\n\n" in text[z:at]:
             return True
+        after, spaced = text[at : at + 1], at > z
         if after[0] in STRONG + ".…,;:，、；：":
             return False
         if not at_start:
-            return not bracket and not low and next((c for c in after if c.isalpha()), "").isupper() and rest[0].isspace()
-        if after.startswith(JA_QUOTE_GOES_ON) and not rest[0].isspace():
+            letter = _LETTER.search(text, at)
+            return not bracket and not low and bool(letter) and letter.group().isupper() and spaced
+        if text.startswith(JA_QUOTE_GOES_ON, at) and not spaced:
             return False
         return low or not after[0].islower()
 
     @staticmethod
     def _period(text, begin, a, e, mark, abbr, pairs, starters, low) -> bool:
         """Whether the period or ellipsis at ``a``..``e`` ends a sentence."""
-        rest = text[e : e + 80]
-        after = rest.lstrip()
-        if not after or "\n\n" in rest[: len(rest) - len(after)].replace(" ", ""):
+        at = _SPACES.match(text, e).end()
+        if at == len(text) or "\n\n" in text[e:at].replace(" ", ""):
             return True
-        nxt = _WORD.search(after)
+        after, spaced = text[at], at > e
+        nxt = _WORD.search(text, at)
         word = nxt.group() if nxt else ""
         w = _norm(word) if word else ""
-        tail = _TOKEN.findall(text[max(begin, a - 60) : a])
+        z = a
+        while z > begin and not _TOKEN_CHAR.match(text[z - 1]):
+            z -= 1
+        k = z
+        while k > begin and _TOKEN_CHAR.match(text[k - 1]):
+            k -= 1
+        tail = _TOKEN.findall(text[k:z])
         prev = tail[-1] if tail and text[a - 1 : a].strip() else ""
         if mark[0] == "…" or len(mark) > 1:
             spoken = _norm(tail[-1]) if tail else ""
             return bool(word) and word[0].isupper() and w != spoken and bool(prev) and (w in starters)
-        if mark[0] == "." and len(rest) == len(after) and (after[0].isalnum() or after[0] in ",;:'’-/"):
+        if mark[0] == "." and not spaced and (after.isalnum() or after in ",;:'’-/"):
             return False
-        if after[0] in ",;:":
+        if after in ",;:":
             return False
         p = _norm(prev)
         joined = f"{p} {w}" in pairs
@@ -337,12 +352,12 @@ class Splitter:
             return not joined
         # a capitalised starter begins a sentence after an abbreviation or initial, unless it belongs to it or is an initial itself
         begins = not low and word[:1].isupper() and not joined and starters.get(w, (0, 0))[1] >= 0.5 and not (
-            len(word) == 1 and after[nxt.end() : nxt.end() + 1] == ".")
+            len(word) == 1 and text[nxt.end() : nxt.end() + 1] == ".")
         initials = bool(prev) and all(len(x) == 1 and x.isupper() for x in prev.split("."))
         if p in abbr:
             ends = abbr[p][1]
             if ends >= 0.5:
-                return (low and (w in starters or ends == 1.0)) or not after[0].islower() and not joined
+                return (low and (w in starters or ends == 1.0)) or not after.islower() and not joined
             return begins
         return not initials or begins
 

@@ -233,10 +233,24 @@ def test_pages(spark):
     assert page_findings(df.limit(0), words, "t").count() == 0
 
 
+def test_corpus_words_and_forms_of_blocks(spark):
+    body = ["the of Talmo-\ntra and", "was Talmotra of", "the Kelso-\nborv was", "heard Kelso-Borv and kelso-borv of", "the Gorh-\nWick was", "bench the of"]
+    # a footer that ends like running text, numbers in two series, and a service's line once in each of two more files
+    rnd = random.Random(9)
+    new = lambda: " ".join("".join(rnd.choice("aoprstvwxyz") for _ in range(12)) for _ in range(3))
+    data = [(k, 1, k, f"{new()}\n{x}\n{new()}\nrecord of the Kelmora Tribunal;\n{k if k < 4 else k + 20}") for k, x in enumerate(body, 1)]
+    data += [(100 + 10 * f + k, f, k, f"Voxmere Typists\nthe of {f} {k}\nand was") for f in (5, 6, 7) for k in (1, 2)] + [(200, 8, 1, "Voxmere Typists\nthe of\nand was"), (300, None, 1, "Voxmere Typists\nthe of")]
+    df = spark.createDataFrame(data, "page_id bigint, file_idx int, page_idx int, t string").withColumn("counts", F.lit(1)).withColumn("own", F.lit(1))
+    got = rows(page_findings(df, spark.createDataFrame([(w,) for w in WORDS], "word string"), "t"))
+    assert [(r[0], r[3]) for r in got if r[2] == "hyphen"] == [(1, "talmotra"), (3, "kelso-borv"), (5, "gorh-wick")]
+    assert {(r[0], r[1]) for r in got if r[2] == "furniture" and r[0] < 10} == {(k, n) for k, x in enumerate(body, 1) for n in (4 + x.count("\n"), 5 + x.count("\n"))}
+    assert {r[0] for r in got if r[2] == "furniture" and r[0] > 10} == {r[0] for r in data if 10 < r[0] < 300}
+
+
 def test_page_parts():
     assert page_number("[1OO2]") == (1002, True) and page_number("in 1990.") is None and page_number("7")[0] == 7
     assert line_form("Rc: Halvin C0mmission   12") == line_form("RE: HALVIN COMMISSION")
-    mend = Repairer(WORDS, set())
+    mend = Repairer(WORDS)
     assert [mend.right(w, False) for w in ("evidcnce", "0f", "an", "10b", "bench", "tribiinal", "fi1ed")] == ["evidence", "of", None, None, None, "tribunal", "filed"]
 
 
@@ -248,6 +262,8 @@ TURNS = ["Dr. Rao came at 5.30 p.m. He left. Dr. Sen stayed at p. 4 of it.", "Th
 def test_sentences(spark):
     data = [(k, t, "en") for k, t in enumerate(TURNS)] + [(90, None, "en"), (91, " \n", None), (92, "证据……无效。他说：“对吗？不信。”然后坐下。「終わりです。」次。", "zh"), (93, "क्या है? हाँ। ठीक ।", "hi"), (94, "...", None)]
     df = spark.createDataFrame(data, "turn_id bigint, t string, lang string").withColumn("end_pos", F.lit(0))
+    far = Splitter({"en": {"S": {"the": (50.0, 1.0)}, "A": {"dr": (9.0, 0.0)}}})
+    assert len(far.ends("He saw Dr." + " " * 500 + "Rao. " + "He left.", "en")) == 2 and len(far.ends("He saw " + "x" * 300 + ". the end", "en")) == 2
     got = {}
     for r in sentence_ends(df, "turn_id", "t", "lang").collect():
         got.setdefault(r.turn_id, []).append(r.end_pos)
