@@ -242,14 +242,67 @@ def near_given(forms: DataFrame, known: DataFrame) -> DataFrame:
     given = forms.select("tag", "kind", "given").distinct().where(F.length("given") >= 3).join(count, ["kind", "given"])
     given = cut(given.withColumn("hole", F.explode(F.when(F.length("given") >= 6, _holes(F.col("given"), 2)).otherwise(_holes(F.col("given"), 1)))))
     own = given.join(F.broadcast(known), "given", "left_anti")
-    d = F.levenshtein("given", "c_given")
-    turned = F.array_join(F.array_sort(F.split("given", "")), "") == F.array_join(F.array_sort(F.split("c_given", "")), "")
-    d = F.when(turned & (d == 2), 1).otherwise(d)
+    d = _turned_edits("given", "c_given")
     pairs = own.join(given.select("tag", "kind", "hole", F.col("given").alias("c_given"), F.col("rows").alias("c_rows")), ["tag", "kind", "hole"])
     return pairs.where("given <> c_given").select("tag", "kind", "given", "c_given", "rows", "c_rows", d.alias("d")).distinct().where(
         (F.col("d") <= F.when(F.length("given") >= 6, 2).otherwise(1)) & (F.log("c_rows") - 2.2 * F.col("d") + 1.6 >= F.log("rows"))).drop("rows", "c_rows")
 
 
+def _turned_edits(a: str, b: str):
+    """Edits between two names, two letters that changed places counting as one."""
+    turned = F.array_join(F.array_sort(F.split(a, "")), "") == F.array_join(F.array_sort(F.split(b, "")), "")
+    d = F.levenshtein(a, b)
+    return F.when(turned & (d == 2), 1).otherwise(d)
+
+
+def _meetings(forms: DataFrame, known: DataFrame) -> DataFrame:
+    """(fid, c_fid, via): numbers of forms that may mean one another, in one join on hashed keys.
+
+    A key is of tag, kind and family name with up to two letters left out, and of the given name, its
+    initial, or neither, as the shorter of the two forms has it (via 0); of a near given name
+    outside the prior (via 1); or of given and family name as one with one letter left out (via 2).
+    What meets by a hash is compared in full afterwards.
+    """
+    left_out = F.array_union(*[F.when(F.length(c) >= 6, _holes(F.col(c), 2)).otherwise(_holes(F.col(c), 1)) for c in ("family", "joined")])
+    keyed = cut(forms.select("fid", "tag", "kind", "level", "given", F.explode(left_out).alias("hole")))
+    base = [F.col("tag"), F.col("kind"), F.col("hole")]
+    full, short, none = F.xxhash64(*base, F.lit(3), "given"), F.xxhash64(*base, F.lit(2), F.substring("given", 1, 1)), F.xxhash64(*base, F.lit(1))
+    asks = keyed.select("fid", F.when(F.col("level") == 3, full).when(F.col("level") == 2, short).otherwise(none).alias("key"), F.lit(0).alias("via"))
+    near = cut(near_given(forms.where("level = 3"), known))
+    asks = asks.unionByName(keyed.where("level = 3").join(near.select("tag", "kind", "given", "c_given"), ["tag", "kind", "given"]).select(
+        "fid", F.xxhash64(*base, F.lit(3), "c_given").alias("key"), F.lit(1).alias("via")))
+    answers = keyed.where("level >= 2").select(F.col("fid").alias("c_fid"), F.explode(F.when(F.col("level") == 3, F.array(full, short, none)).otherwise(F.array(short, none))).alias("key"))
+    whole = forms.where("kind = 'P' and level <> 2").withColumn("whole", F.concat("given", "family"))
+    whole = whole.where(F.length("whole") >= 8).withColumn("hole", F.explode(_holes(F.col("whole"), 1))).withColumn("key", F.xxhash64("tag", F.lit("one"), "hole"))
+    asks = asks.unionByName(whole.join(F.broadcast(known), "given", "left_anti").select("fid", "key", F.lit(2).alias("via")))
+    answers = answers.unionByName(whole.where("level = 3").select(F.col("fid").alias("c_fid"), "key"))
+    return asks.join(answers, "key").where("fid <> c_fid").select("fid", "c_fid", "via").distinct()
+
+
+#: Costs of a channel before anything is attached: of an edit, of an initial or nothing for a given name.
+EDIT, LACKS = 3.0, {1: 6.0, 2: 4.0, 3: 0.0}
+
+
+def _channel_cost(scored: DataFrame):
+    """The cost of a candidate's edits and of what its form lacks, learned from the attachments.
+
+    With the first costs every form is attached to its best candidate; how often the forms in full
+    that were attached have one, two and more edits tells what an edit costs, and likewise an
+    initial and a missing given name among all; costs are logs of these odds, not below half nor
+    above twice the first ones, which hold where there is too little to learn from.
+    """
+    lacks = F.create_map(*[F.lit(x) for pair in LACKS.items() for x in pair])[F.col("lacks")]
+    first = scored.withColumn("_p", F.col("prior") - EDIT * F.col("edits") - lacks)
+    best = first.groupBy("form").agg(F.max_by(F.struct("n", "edits", "lacks"), F.struct("_p", "c_form")).alias("x")).select("x.*")
+    n = {(r["lacks"], r["edits"]): r["n"] for r in best.groupBy("lacks", F.least("edits", F.lit(4)).alias("edits")).agg(F.sum("n").alias("n")).collect()}  # at most 15 rows
+    bound = lambda x, at: min(max(x, at / 2), at * 2)
+    total = sum(n.values())
+    edited = sum(k * v for (_, k), v in n.items())
+    edit = bound(log((total + 1) / (edited + 1)), EDIT) if total >= 100 else EDIT
+    cost = {k: bound(log((total + 1) / (sum(v for (x, _), v in n.items() if x == k) + 1)), at) if at and total >= 100 else at for k, at in LACKS.items()}
+    return F.lit(edit) * F.col("edits") + F.create_map(*[F.lit(x) for pair in cost.items() for x in pair])[F.col("lacks")]
+
+
 def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: str = "raw_name") -> DataFrame:
     """(key, tag, entity): the entity that each typed name means, within its tag.
 
@@ -257,9 +310,9 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     the prior by which given names and the words of organisations are put right (typing errors,
     short and pet names, missing spaces).  Forms in full are candidates for canonical spellings;
     every form is attached to the candidate of its tag with the highest posterior, that is the
-    log of its frequency less the cost of the edits, of an initial in place of the given name
-    (4), or of a missing given name (6), and two more or less for the same or another form of
-    address; a form is attached only to one with a fuller name, or an
+    log of its frequency less the cost of the edits, of an initial in place of the given name,
+    or of a missing given name, as the attachments show them (:func:`_channel_cost`), and two more or
+    less for the same or another form of address; a form is attached only to one with a fuller name, or an
     equally full one that is more frequent (of equals the smaller spelling).  Attachments are
     consolidated by :func:`connected_groups`.
 
@@ -298,58 +351,42 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     form = F.concat_ws("\x01", F.coalesce("tag", F.lit("\x02")), "kind", F.col("level").cast("string"), "given", "family", F.when(F.col("level") == 1, F.col("letters")).otherwise(""),
                        F.when(F.col("level") < 3, F.col("title")).otherwise(""))
     parsed = cut(parsed.withColumn("form", form))
-    forms = cut(parsed.groupBy("form").agg(
+    forms = parsed.groupBy("form").agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("tag", "kind", "level", "given", "family", "letters")],
-        F.array_remove(F.collect_set("title"), "").alias("titles")))
-
-    # letters that scanning takes apart also meet as one
-    forms = forms.withColumn("joined", F.replace(F.replace(F.col("family"), F.lit("RN"), F.lit("M")), F.lit("VV"), F.lit("W")))
-    left_out = F.array_union(*[F.when(F.length(c) >= 8, _holes(F.col(c), 2)).otherwise(_holes(F.col(c), 1)) for c in ("family", "joined")])
-    keyed = cut(forms.where("kind <> 'R' and family <> ''").withColumn("hole", F.explode(left_out)).withColumn("tag", F.coalesce("tag", F.lit("\x02"))))
-    # who may be the canonical form of whom: a fuller one, or an equally full one
-    full = keyed.where("level >= 2").select("tag", "kind", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family", "joined", "titles")])
-    initial = F.substring("given", 1, 1)
-    same_given = keyed.where("level = 3").join(
-        full.where("c_level = 3").withColumnRenamed("c_given", "given").withColumn("c_given", F.col("given")), ["tag", "kind", "hole", "given"])
-    by_initial = keyed.where("level = 2").withColumn("i", initial).join(
-        full.withColumn("i", F.substring("c_given", 1, 1)), ["tag", "kind", "hole", "i"])
-    bare = keyed.where("level = 1").join(full, ["tag", "kind", "hole"])
-    # given names outside the prior: near ones of the tag, and given and family name parted elsewhere or not at all
-    tagged = forms.where("kind <> 'R' and family <> ''").withColumn("tag", F.coalesce("tag", F.lit("\x02")))
-    near_names = cut(near_given(tagged.where("level = 3"), spark.createDataFrame([(w,) for w in sorted(words)], "given string")))
-    other_given = keyed.where("level = 3").join(near_names.withColumnRenamed("d", "given_edits"), ["tag", "kind", "given"]).join(
-        full.where("c_level = 3"), ["tag", "kind", "hole", "c_given"])
-    whole = tagged.where("kind = 'P' and level <> 2").withColumn("whole", F.concat("given", "family"))
-    whole = cut(whole.where(F.length("whole") >= 8).withColumn("hole", F.explode(_holes(F.col("whole"), 1))))
-    parted = whole.join(
-        whole.where("level = 3").select("tag", "hole", *[F.col(c).alias("c_" + c) for c in ("form", "n", "level", "given", "family", "joined", "titles", "whole")]),
-        ["tag", "hole"]).where((F.col("given") != F.col("c_given")) & (F.length("family") != F.length("c_family")))
-    parted = parted.join(F.broadcast(spark.createDataFrame([(w,) for w in sorted(words)], "given string")), "given", "left_anti")
-    parted = parted.withColumn("whole_edits", F.levenshtein("whole", "c_whole")).where("whole_edits <= 1")
-    cols = ["form", "n", "level", "family", "titles", "c_titles", "c_form", "c_n", "c_level", "c_family", "joined", "c_joined", "given_edits", "whole_edits"]
-    none = F.lit(None).cast("int")
-    pairs = same_given.withColumns({"given_edits": F.lit(0), "whole_edits": none}).select(cols)
-    for x in (by_initial.withColumns({"given_edits": F.lit(0), "whole_edits": none}), bare.withColumns({"given_edits": F.lit(0), "whole_edits": none}),
-              other_given.withColumn("whole_edits", none), parted.withColumn("given_edits", F.lit(0))):
-        pairs = pairs.unionByName(x.select(cols))
-    pairs = pairs.where("form <> c_form").distinct()
-    d = F.coalesce("whole_edits", F.least(F.levenshtein("family", "c_family"), F.levenshtein("joined", "c_joined")))
+        F.array_remove(F.collect_set("title"), "").alias("titles"))
+    # letters that scanning takes apart also meet as one; a form has a number that stands for it in the joins
+    forms = cut(forms.withColumn("joined", F.replace(F.replace(F.col("family"), F.lit("RN"), F.lit("M")), F.lit("VV"), F.lit("W"))).withColumn(
+        "tag", F.coalesce("tag", F.lit("\x02"))).withColumn("fid", F.monotonically_increasing_id()))
+    tagged = forms.where("kind <> 'R' and family <> ''")
+    known = spark.createDataFrame([(w,) for w in sorted(words)], "given string")
+    own = ("kind", "level", "given", "family", "joined", "titles", "n", "form")
+    met = cut(_meetings(tagged, known))
+    pairs = met.join(tagged.select("fid", "tag", *own), "fid").join(
+        tagged.select(F.col("fid").alias("c_fid"), F.col("tag").alias("c_tag"), *[F.col(c).alias("c_" + c) for c in own]), "c_fid")
+    pairs = pairs.where((F.col("tag") == F.col("c_tag")) & (F.col("kind") == F.col("c_kind")))
+    initial = lambda c: F.substring(c, 1, 1)
+    same = F.when(F.col("level") == 3, (F.col("c_level") == 3) & (F.col("given") == F.col("c_given"))).when(F.col("level") == 2, initial("given") == initial("c_given")).otherwise(True)
+    given_edits = F.when((F.col("via") == 1) & (F.col("level") == 3), _turned_edits("given", "c_given")).otherwise(0)
+    as_one = F.levenshtein(F.concat("given", "family"), F.concat("c_given", "c_family"))
+    parted = (as_one <= 1) & (F.col("given") != F.col("c_given")) & (F.length("family") != F.length("c_family"))
+    d = F.when(F.col("via") == 2, as_one).otherwise(F.least(F.levenshtein("family", "c_family"), F.levenshtein("joined", "c_joined")))
     swapped = F.array_join(F.array_sort(F.split("family", "")), "") == F.array_join(F.array_sort(F.split("c_family", "")), "")
     near = (d <= 1) | ((d <= 2) & ((F.least(F.length("family"), F.length("c_family")) >= 6) | swapped))
     rank = F.struct("c_level", "c_n"), F.struct("level", "n")
     fuller = (rank[0] > rank[1]) | ((rank[0] == rank[1]) & (F.col("c_form") < F.col("form")))
-    missing = F.when(F.col("whole_edits").isNotNull(), 0.0).when(F.col("level") == 2, 4.0).when(F.col("level") == 1, 6.0).otherwise(0.0)
-    cost = F.lit(3.0) * (d + F.col("given_edits")) + missing
+    lacks = F.when((F.col("via") == 2) | (F.col("level") == 3), 3).otherwise(F.col("level"))
     # the form of address tells persons of one family name apart
     address = F.when(F.arrays_overlap("titles", "c_titles"), 2.0).when((F.size("titles") > 0) & (F.size("c_titles") > 0), -2.0).otherwise(0.0)
-    scored = pairs.where(near & fuller).withColumn("posterior", F.log("c_n") - cost + address + F.when(F.col("c_level") == 3, 1.0).otherwise(0.0))
+    scored = cut(pairs.where(F.when(F.col("via") == 0, same).when(F.col("via") == 1, F.col("c_level") == 3).otherwise(parted) & near & fuller).select(
+        "form", "c_form", "n", (d + given_edits).alias("edits"), lacks.alias("lacks"), (F.log("c_n") + address + F.when(F.col("c_level") == 3, 1.0).otherwise(0.0)).alias("prior")))
+    scored = scored.withColumn("posterior", F.col("prior") - _channel_cost(scored))
 
-    letters = forms.where("kind = 'O'").withColumn("tag", F.coalesce("tag", F.lit("\x02")))
+    letters = forms.where("kind = 'O'")
     short = letters.where("level = 1").select("tag", "letters", "form")
     by_letters = short.join(
         letters.where("level = 3 and letters <> ''").select("tag", "letters", F.col("form").alias("c_form"), F.col("n").alias("c_n")), ["tag", "letters"]
     ).select("form", "c_form", F.log("c_n").alias("posterior"))
-    best = cut(scored).select("form", "c_form", "posterior").unionByName(by_letters).groupBy("form").agg(
+    best = scored.select("form", "c_form", "posterior").unionByName(by_letters).groupBy("form").agg(
         F.max_by("c_form", F.struct("posterior", "c_form")).alias("c_form"))
     groups = connected_groups(cut(best), "form", "c_form")
     # one spelling may be typed in a third of all rows
@@ -357,11 +394,15 @@ def name_groups(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: s
     return found.select(F.col("id").alias(key), F.col("tag").alias(tag), F.coalesce("group_id", "form").alias("entity"))
 
 
-def name_pairs(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: str = "raw_name") -> DataFrame:
+def name_pairs(names: DataFrame, key: str = "name_id", tag: str = "tag", raw: str = "raw_name", part: int = 2000) -> DataFrame:
     """(key_a, key_b): every two keys of one tag whose names mean the same, smaller key first.
 
     See :func:`name_groups`; the pairs of an entity are the stated result, so all are given.
     """
     g = cut(name_groups(names, key, tag, raw).select(F.col("entity"), F.col(key).alias("k")).distinct())
-    a, b = g.select("entity", F.col("k").alias(f"{key}_a")), g.select("entity", F.col("k").alias(f"{key}_b"))
-    return a.join(b, "entity").where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b").distinct()
+    # an entity of many keys is parted: each part of it meets all of it in a task of its own
+    many = g.groupBy("entity").agg(F.ceil(F.count("*") / part).cast("int").alias("parts")).where("parts > 1")
+    g = lookup_join(g, many, "entity").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = g.select("entity", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int").alias("part"), F.col("k").alias(f"{key}_a"))
+    b = g.select("entity", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("k").alias(f"{key}_b"))
+    return a.join(b, ["entity", "part"]).where(F.col(f"{key}_a") < F.col(f"{key}_b")).select(f"{key}_a", f"{key}_b").distinct()

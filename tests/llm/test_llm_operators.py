@@ -176,6 +176,7 @@ def test_name_variants(spark):
     assert frozenset({1, 2, 100, 101, 102, 103, 104, 105}) in sets and frozenset({7, 8, 106}) in sets
     assert frozenset({107, 109}) in sets and frozenset({108}) in sets and frozenset({110, 111, 112}) in sets and frozenset({200}) in sets
     pairs = {tuple(r) for r in name_pairs(df).collect()}
+    assert pairs == {tuple(r) for r in name_pairs(df, part=2).collect()}  # entities in parts
     assert (107, 109) in pairs and all(a < b for a, b in pairs) and len(pairs) == sum(len(s) * (len(s) - 1) // 2 for s in sets)
     assert name_pairs(df.limit(0)).count() == 0
     assert parse("PETITIONER'S COUNSEL 3", Speller({}))[0] == "R" and parse("  ", Speller({})) is None
