@@ -182,12 +182,14 @@ MOST_SPEAKERS = 500_000
 _MARK = regex.compile(r"^[\[(<{\s>]*(\d{1,2}):(\d\d):(\d\d)(?!\d)")
 
 
-def _norm(line: Column) -> Column:
-    return F.trim(F.lower(F.regexp_replace(line, r"\d+", "9")))
+def _form(line: Column) -> Column:
+    """A hash of a line as it may repeat as layout: small, with digits as 9; null where it ends as a label does."""
+    text = F.trim(F.lower(F.regexp_replace(line, r"\d+", "9")))
+    return F.when(~text.rlike(r"[:>]$"), F.xxhash64(text))
 
 
 def page_layout(rows: DataFrame, share: float = 0.1, least: int = 3) -> DataFrame:
-    """(file_idx, block, layout): lines (digits as 9, small) that are layout in a block of pages.
+    """(file_idx, block, layout): hashes of the lines that are layout in a block of pages.
 
     A line is layout in a block when it stands among the first or last two of at least ``share``
     of the block's pages, and of at least ``least``; and in any block when it is so in ``least``
@@ -195,11 +197,11 @@ def page_layout(rows: DataFrame, share: float = 0.1, least: int = 3) -> DataFram
     are.  How large the rest of the collection is makes no difference to a file.
     """
     block = F.floor(F.col("page_idx") / BLOCK).alias("block")
-    said = rows.select("file_idx", block, "page_idx", F.struct("line_no", _norm(F.col("line")).alias("l")).alias("x"))
+    said = rows.select("file_idx", block, "page_idx", F.struct("line_no", _form(F.col("line")).alias("l")).alias("x"))
     pages = said.groupBy("file_idx", "block", "page_idx").agg(F.sort_array(F.collect_set("x")).alias("x"))  # the lines of one page
     pages = pages.select("file_idx", "block", F.array_distinct(F.concat(F.slice("x", 1, 2), F.slice(F.reverse("x"), 1, 2))["l"]).alias("edges"))
     size = pages.groupBy("file_idx", "block").agg(F.count("*").alias("pages"))
-    edges = pages.select("file_idx", "block", F.explode("edges").alias("l")).where(~F.col("l").rlike(r"[:>]$")).groupBy("file_idx", "block", "l").agg(F.count("*").alias("n"))
+    edges = pages.select("file_idx", "block", F.explode("edges").alias("l")).where("l is not null").groupBy("file_idx", "block", "l").agg(F.count("*").alias("n"))
     edges = cut(edges.join(size, ["file_idx", "block"]).withColumn("own", (F.col("n") >= least) & (F.col("n") >= share * F.col("pages"))))
     files = edges.groupBy("l", "file_idx").agg(F.max("own").cast("int").alias("own")).groupBy("l").agg(F.sum("own").alias("owners"), F.count("*").alias("files"))
     common = files.where((F.col("owners") >= least) & (F.col("owners") * 4 >= F.col("files")))
@@ -317,7 +319,7 @@ def speaker_turns(lines: DataFrame, speakers: DataFrame, split_at_pauses: bool =
     page = W.partitionBy("file_idx", "block", "page_idx")
     at, n = F.row_number().over(page.orderBy("line_no")), F.count("*").over(page)
     placed = placed.withColumn("edge", (at <= 2) | (at > n - 2)).join(layout, ["file_idx", "block"], "left").where(
-        ~F.col("known") & ~F.coalesce(F.col("edge") & F.col("spk_id").isNull() & F.array_contains("layout", _norm(F.col("line"))), F.lit(False)))
+        ~F.col("known") & ~F.coalesce(F.col("edge") & F.col("spk_id").isNull() & F.array_contains("layout", _form(F.col("line"))), F.lit(False)))
     placed = placed.select("file_idx", "block", *_ORDER, F.expr("substring(line, rest + 1)").alias("text"), "spk_id", F.col("spk_id").isNotNull().cast("int").alias("label"))
     if split_at_pauses:
         placed = placed.join(_pauses(parsed).withColumn("paused", F.lit(1)).drop("pause"), ["file_idx", *_ORDER], "left").withColumn("paused", F.coalesce("paused", F.lit(0)))
