@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -132,30 +132,29 @@ def cut_words(lines: list[str]) -> Iterator[tuple[str, str, str]]:
             yield last.rstrip(HYPHENS), two[0], last[-1]
 
 
-def word_counts(pages: DataFrame, page: str) -> DataFrame:
-    """(word, n): how often each word stands whole in the pages, in lower case without marks at its ends."""
-    words = F.split(F.lower(F.col(page)), r"(?U)\s+")
-    ends = f"[{regex.escape(_MARKS)}*–—]+"
-    return pages.select(F.explode(words).alias("w")).select(F.regexp_replace("w", f"^{ends}|{ends}$", "").alias("word")).where(
-        f"word <> '' and not rlike(word, '[{HYPHENS}]$')").groupBy("word").agg(F.count("*").alias("n"))
-
-
 def counted_cuts(pages: DataFrame, page: str) -> DataFrame:
     """(page_id, counts): of the cut words of each page how often they stand whole in all pages,
-    joined and with a hyphen."""
+    in lower case without marks at their ends, joined and with a hyphen."""
     of_key = pages.schema["page_id"].dataType.simpleString()
 
-    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, out = [], []
+            at, out, tokens = [], [], Counter()
             for i, text in enumerate(b.column(1).to_pylist()):
+                tokens.update((text or "").split())
                 for form in {plain(x) for h, t, _ in cut_words((text or "").split("\n")) for x in (h + t, h + "-" + t)}:
                     at.append(i)
                     out.append(form)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], ["page_id", "word"])
-
-    wanted = cut(spread(pages.where("page_id is not null").select("page_id", page)).mapInArrow(cuts, f"page_id {of_key}, word string"))
-    counts = wanted.select("word").distinct().join(word_counts(pages, page), "word")
+            counts: Counter = Counter()
+            for w, n in tokens.items():
+                if w[-1] not in HYPHENS and (p := plain(w)):
+                    counts[p] += n
+            keys = pa.concat_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.nulls(len(counts), b.column(0).type)])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(out + list(counts), pa.string()), pa.array([None] * len(out) + list(counts.values()), pa.int64())], ["page_id", "word", "n"])
+
+    found = cut(spread(pages.select("page_id", page)).mapInArrow(read, f"page_id {of_key}, word string, n bigint"))
+    wanted = found.where("n is null and page_id is not null").drop("n")
+    counts = found.where("n is not null").join(wanted.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"))
     return lookup_join(wanted, counts, "word", how="inner").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "n"))).alias("counts"))
 
 
