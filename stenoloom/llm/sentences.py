@@ -188,26 +188,21 @@ def learn(docs: DataFrame, text: str, lang: str, model_size: int = 20_000) -> di
         "lang", F.concat_ws(" ", "word", "nxt").alias("word"), "score")
     frequent = words.where(F.col("word") != _NUM).withColumn("score", F.col("total") / F.col("all_n"))
 
-    halves = [1 - 2.0**-k for k in range(40)]
-
-    def strongest(df: DataFrame, kind: str, score: str, most: int, rate: str = "cast(0 as double)") -> DataFrame:
-        """The ``most`` strongest entries of each language; what lies under a quantile that leaves
-        more than them is gone before they are brought together."""
-        ranked = df.selectExpr("lang", f"'{kind}' as kind", "word", f"{rate} as rate", f"cast({score} as double) as score")
-        at = F.greatest(F.floor(F.log2(F.col("k") / most)), F.lit(0)).cast("int")
-        least = ranked.groupBy("lang").agg(F.count("*").alias("k"), F.percentile_approx("score", halves, 10_000).alias("q")).select("lang", F.get("q", at).alias("least"))
-        return ranked.join(F.broadcast(least), "lang").where("score >= least").groupBy("lang", "kind").agg(
-            F.sort_array(F.collect_list(F.struct("score", "word", "rate")), False).alias("x")).select("lang", "kind", F.slice("x", 1, most).alias("x"))
+    def entries(df: DataFrame, kind: str, most: int, rate: str = "cast(0 as double)") -> DataFrame:
+        return df.selectExpr("lang", f"'{kind}' as kind", "word", f"{rate} as rate", "cast(score as double) as score", f"{most} as most")
 
+    found = cut(entries(enders, "A", model_size, "if(goes_on < 0.02 and rate > 0.3, 1.0, if(rate > 0.3, 0.5, 0.0))").unionByName(
+        entries(collocations, "D", model_size)).unionByName(entries(starters, "S", model_size, "small")).unionByName(entries(frequent.where("score > 1e-3"), "F", 150)))
+    # the strongest of each language: what lies under a quantile that leaves more than them is gone before they are brought together
+    halves = [1 - 2.0**-k for k in range(40)]
+    at = F.greatest(F.floor(F.log2(F.col("k") / F.col("most"))), F.lit(0)).cast("int")
+    least = found.groupBy("lang", "kind", "most").agg(F.count("*").alias("k"), F.percentile_approx("score", halves, 10_000).alias("q")).select("lang", "kind", F.get("q", at).alias("least"))
+    strongest = found.join(F.broadcast(least), ["lang", "kind"]).where("score >= least").groupBy("lang", "kind").agg(
+        F.sort_array(F.collect_list(F.struct("score", "word", "rate")), False).alias("x"), F.max("most").alias("most"))
     model: dict = {}
-    parts = [strongest(enders, "A", "score", model_size, "if(goes_on < 0.02 and rate > 0.3, 1.0, if(rate > 0.3, 0.5, 0.0))"),
-             strongest(collocations, "D", "score", model_size), strongest(starters, "S", "score", model_size, "small"),
-             strongest(frequent.where("score > 1e-3"), "F", "score", 150)]
-    rows = parts[0]
-    for x in parts[1:]:
-        rows = rows.unionByName(x)
-    for r in rows.collect():
+    for r in strongest.select("lang", "kind", F.expr("slice(x, 1, most)").alias("x")).collect():
         model.setdefault(r["lang"], {})[r["kind"]] = {x["word"]: (x["score"], x["rate"]) for x in r["x"]}
+    drop(found)
     drop(events)
     return model
 
