@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -68,13 +68,35 @@ def key_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+#: Letters of a key from seldom to often; what comes first makes the smaller blocks.
+_SELDOM = "XJYWFGBDHMLKTSNR"
+
+
+def _blocks(key: Column) -> Column:
+    """Values of which two keys share one when they are equal or alike by SURNAME_RATIO.
+
+    Alike keys of lengths a and b have at least (a + b) * SURNAME_RATIO / 2 letters in common, so of
+    a letters (each with its number among equal ones) at least two thirds.  With the letters of both in
+    one order, the first a - 2a/3 + 2 of either then have two in common: these pairs are the values.
+    """
+    ranked = F.translate(key, _SELDOM, "".join(chr(33 + k) for k in range(len(_SELDOM))))
+    size = F.length(key)
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.concat(
+        F.substring(ranked, i, F.lit(1)), (i - F.length(F.replace(F.substring(ranked, F.lit(1), i), F.substring(ranked, i, F.lit(1)), F.lit("")))).cast("string")))
+    common = F.ceil(size * (SURNAME_RATIO / (2 - SURNAME_RATIO)) - 1e-9).cast("int")
+    head = F.slice(F.array_sort(letters), F.lit(1), F.greatest(size - common + 2, F.lit(2)))
+    pairs = F.flatten(F.transform(head, lambda x: F.transform(F.filter(head, lambda y: x < y), lambda y: F.concat(x, F.lit("&"), y))))
+    return F.concat(F.array(F.concat(F.lit("="), key)), F.when(size >= KEY_LENGTH, pairs).otherwise(F.array().cast("array<string>")))
+
+
 def candidate_pairs(parsed: DataFrame) -> DataFrame:
     """Ordered pairs of named persons that may be one: both given names and both surnames begin
-    with the same letter, which every further rule implies; so the join on these letters loses none."""
+    with the same letter, and the keys of the surnames are equal or share enough letters (see
+    :func:`_blocks`), which every further rule implies; so the join loses none."""
     cols = ("name", "name_ord", "first", "surname", "first_key", "surname_key")
     side = lambda s: parsed.where("kind = 'regular'").select(
-        *[F.col(c).alias(f"{c}_{s}") for c in cols], F.substring("surname", 1, 1).alias("s1"), F.substring("first", 1, 1).alias("f1"))
-    return side("a").join(side("b"), ["s1", "f1"]).where("name_ord_a < name_ord_b").drop("s1", "f1")
+        *[F.col(c).alias(f"{c}_{s}") for c in cols], F.substring("surname", 1, 1).alias("s1"), F.substring("first", 1, 1).alias("f1"), F.explode(_blocks(F.col("surname_key"))).alias("block"))
+    return side("a").join(side("b"), ["s1", "f1", "block"]).where("name_ord_a < name_ord_b").drop("s1", "f1", "block").distinct()
 
 
 def matching_pairs(parsed: DataFrame) -> DataFrame:
@@ -110,28 +132,51 @@ def clusters(names: DataFrame) -> DataFrame:
     ids = parsed.select("name", F.col("name_ord").alias("id"))
     edges = cut(pairs.join(ids.withColumnsRenamed({"name": "name_a", "id": "a"}), "name_a").join(ids.withColumnsRenamed({"name": "name_b", "id": "b"}), "name_b").select(
         F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b"))
-    label = cut(parsed.where("kind = 'regular'").select(F.col("name_ord").alias("a"), F.col("name_ord").alias("g")))
+    label = _components(parsed.where("kind = 'regular'").select(F.col("name_ord").alias("a")), edges)
+    grouped = cut(parsed.join(label.withColumnsRenamed({"a": "name_ord", "label": "g"}), "name_ord", "left"))
+    # only what a surname alone may join is looked at in order, each such set by itself
+    alone = grouped.where("kind = 'wildcard'")
+    met = cut(_surname_meetings(alone, grouped.where("kind <> 'role'")))
+    node = F.when(F.col("kind_b") == "regular", F.col("g_b")).otherwise(F.col("name_ord_b"))
+    both = cut(met.select(F.explode(F.array(F.struct(F.col("name_ord_a").alias("a"), node.alias("b")), F.struct(node.alias("a"), F.col("name_ord_a").alias("b")))).alias("e")).select("e.a", "e.b").distinct())
+    sets = _components(both.select("a").union(alone.select("name_ord")).distinct(), both)
+    held = grouped.where("kind <> 'role'").withColumn("a", F.coalesce("g", "name_ord")).join(sets, "a").select("name_ord", "kind", "surname", "surname_key", "g", "label")
+    joined = held.groupBy("label").applyInPandas(_attach, "name_ord bigint, group_ord bigint, hits int")
+    return grouped.join(joined, "name_ord", "left").select(
+        "name", "words", "name_ord", "kind", F.coalesce("group_ord", "g", "name_ord").alias("group_ord"), F.coalesce("hits", F.lit(0)).alias("hits"))
+
+
+def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, label): the smallest node that each node (a) is linked to by ``edges`` (a, b in both directions)."""
+    label = cut(nodes.select("a", F.col("a").alias("label")))
     while True:
-        near = edges.join(label.withColumnsRenamed({"a": "b", "g": "gb"}), "b").groupBy("a").agg(F.min("gb").alias("gb"))
-        step = label.join(near, "a", "left").select("a", F.least("g", F.coalesce("gb", "g")).alias("g"), F.col("g").alias("old"))
-        jump = step.select(F.col("a").alias("g"), F.col("g").alias("gg"))
-        new = cut(step.join(jump, "g", "left").select("a", F.least("g", F.coalesce("gg", "g")).alias("g"), "old"))
-        moved = not new.where("g <> old").isEmpty()
+        near = edges.join(label.withColumnsRenamed({"a": "b", "label": "gb"}), "b").groupBy("a").agg(F.min("gb").alias("gb"))
+        step = label.join(near, "a", "left").select("a", F.least("label", F.coalesce("gb", "label")).alias("label"), F.col("label").alias("old"))
+        jump = step.select(F.col("a").alias("label"), F.col("label").alias("gg"))
+        new = cut(step.join(jump, "label", "left").select("a", F.least("label", F.coalesce("gg", "label")).alias("label"), "old"))
+        moved = not new.where("label <> old").isEmpty()
         drop(label)
         path = new._cut_path
-        label = new.select("a", "g")
+        label = new.select("a", "label")
         label._cut_path = path
         if not moved:
-            break
-    grouped = parsed.join(label.withColumnRenamed("a", "name_ord"), "name_ord", "left")
-    # surnames of one first letter only match each other: letters are attached independently
-    letter = F.when(F.col("kind") == "role", F.concat(F.lit("\x01"), F.col("name_ord").cast("string"))).otherwise(F.substring("surname", 1, 1))
-    out = "name string, words bigint, name_ord bigint, kind string, group_ord bigint, hits int"
-    return grouped.withColumn("letter", letter).groupBy("letter").applyInPandas(_attach, out)
+            return label
+
+
+def _surname_meetings(alone: DataFrame, named: DataFrame) -> DataFrame:
+    """(name_ord_a, name_ord_b, kind_b, g_b): surnames alone and the names whose surname matches."""
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name_ord", "kind", "surname", "surname_key", "g")],
+                                   F.substring("surname", 1, 1).alias("s1"), F.explode(_blocks(F.col("surname_key"))).alias("block"))
+    pairs = side(alone, "a").join(side(named, "b"), ["s1", "block"]).where("name_ord_a <> name_ord_b").drop("s1", "block").distinct()
+    sure = (F.col("surname_a") == F.col("surname_b")) | (F.col("surname_key_a") == F.col("surname_key_b"))
+    may = (F.length("surname_key_a") >= KEY_LENGTH) & (F.length("surname_key_b") >= KEY_LENGTH)
+    cols = ("name_ord_a", "name_ord_b", "kind_b", "g_b")
+    rest = pairs.where(~sure & may).withColumn("r", key_ratio("surname_key_a", "surname_key_b")).where(F.col("r") >= SURNAME_RATIO)
+    return pairs.where(sure).select(*cols).unionByName(rest.select(*cols))
 
 
 def _attach(rows: pd.DataFrame) -> pd.DataFrame:
-    """Attach surnames alone, in order, to the only group they match."""
+    """Attach surnames alone, in order, to the only group they match; (name_ord, group_ord, hits)."""
     rows = rows.sort_values("name_ord")
     groups: dict[int, list[tuple[str, str]]] = {}
     for r in rows[rows.kind == "regular"].itertuples():
@@ -145,8 +190,8 @@ def _attach(rows: pd.DataFrame) -> pd.DataFrame:
             if hits == 1:
                 g = found[0]
                 groups[g].append((r.surname, r.surname_key))
-        out.append((r.name, r.words, r.name_ord, r.kind, g, hits))
-    return pd.DataFrame(out, columns=["name", "words", "name_ord", "kind", "group_ord", "hits"])
+        out.append((r.name_ord, g, hits))
+    return pd.DataFrame(out, columns=["name_ord", "group_ord", "hits"])
 
 
 def _surnames(a: str, ka: str, b: str, kb: str) -> bool:

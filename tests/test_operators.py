@@ -86,6 +86,42 @@ def test_speaker_clusters(spark):
     assert ids["MR. IVAN VOSTER"][1] < ids["MR. IVAN WOSTER"][1]
 
 
+def test_clusters_by_brute_force(spark):
+    rnd = random.Random(8)
+    stems, firsts = ["KELSO", "KALSO", "KELSON", "TALVIN", "TALVEN", "TARVIN", "BORVAK", "RAO", "RAI", "KLS", "KELSTROVIN", "KELSTRVN", "TALVINATH"], ["RAVEN", "R", "ROVEN", "NORA", "NURA", "N", None]
+    names = sorted({" ".join(x for x in (rnd.choice(["MR.", "DR.", ""]), rnd.choice(firsts), rnd.choice(stems)) if x) for _ in range(90)})
+    rnd.shuffle(names)
+    parsed = {r.name: r for r in sp.parsed_names(spark.createDataFrame([(n, 1, k) for k, n in enumerate(names, 1)], "name string, words bigint, name_ord bigint")).collect()}
+    like = lambda a, b, t: len(a) >= 3 and len(b) >= 3 and difflib.SequenceMatcher(None, a, b).ratio() >= t
+
+    def surname(x, y):
+        return x.surname == y.surname or x.surname[0] == y.surname[0] and (x.surname_key == y.surname_key or like(x.surname_key, y.surname_key, 0.8))
+
+    def first(x, y):
+        a, b = x.first, y.first
+        return a == b or a[0] == b[0] and (len(a) <= 2 and b.startswith(a) or len(b) <= 2 and a.startswith(b) or x.first_key != "" and x.first_key == y.first_key or like(x.first_key, y.first_key, 0.75))
+
+    rows = sorted(parsed.values(), key=lambda r: r.name_ord)
+    regular = [r for r in rows if r.kind == "regular"]
+    group = {r.name_ord: r.name_ord for r in regular}
+    for i, x in enumerate(regular):
+        for y in regular[i + 1 :]:
+            if surname(x, y) and first(x, y):
+                old, new = max(group[x.name_ord], group[y.name_ord]), min(group[x.name_ord], group[y.name_ord])
+                group = {k: new if g == old else g for k, g in group.items()}
+    members = {}
+    for r in regular:
+        members.setdefault(group[r.name_ord], []).append(r)
+    for r in rows:
+        if r.kind == "wildcard":
+            hit = [g for g, held in members.items() if any(surname(r, y) for y in held)]
+            group[r.name_ord] = hit[0] if len(hit) == 1 else r.name_ord
+            if len(hit) == 1:
+                members[hit[0]].append(r)
+    got = {r.name_ord: r.group_ord for r in sp.clusters(spark.createDataFrame([(n, 1, k) for k, n in enumerate(names, 1)], "name string, words bigint, name_ord bigint")).collect()}
+    assert got == group and len(set(group.values())) < len(names)
+
+
 def test_review(spark):
     w, s = "We paid 50% to Dr. Rao? yes".split(), "we paid fifty percent to doctor rao ? yes".split()
     df = spark.createDataFrame([(1, 1, " ".join(w), " ".join(s)), (1, 2, "", "")], "file_idx int, turn_idx int, written string, spoken string")
