@@ -82,15 +82,17 @@ def segment_range(turn_rows: DataFrame, name: str = "raw_name") -> DataFrame:
 
 
 def file_overview(raw: DataFrame) -> DataFrame:
-    """(file_idx, pages, words, turns, speakers, unusual_speakers) of each file."""
+    """(file_idx, pages, words, turns, speakers, unusual_speakers, unusual_names) of each file; the last
+    holds the names with characters that names seldom have, in order, parted by semicolons."""
     lines = page_lines(raw)
     pages = lines.groupBy("file_idx").agg(F.count_distinct("page_idx").alias("pages"))
     t = turns(raw, boilerplate=False)
     said = t.groupBy("file_idx").agg(
         F.sum(words_of(F.col("body"))).alias("words"), F.count("*").alias("turns"), F.count_distinct("raw_name").alias("speakers"),
-        F.count_distinct(F.when(F.col("raw_name").rlike(UNUSUAL), F.col("raw_name"))).alias("unusual_speakers"))
+        F.sort_array(F.collect_set(F.when(F.col("raw_name").rlike(UNUSUAL), F.col("raw_name")))).alias("names"))
+    said = said.withColumns({"unusual_speakers": F.size("names").cast("bigint"), "unusual_names": F.array_join("names", "; ")}).drop("names")
     zero = {c: 0 for c in ("words", "turns", "speakers", "unusual_speakers")}
-    return pages.join(said, "file_idx", "left").fillna(zero)
+    return pages.join(said, "file_idx", "left").fillna(zero).fillna({"unusual_names": ""})
 
 
 def raw_speakers(turn_rows: DataFrame) -> DataFrame:

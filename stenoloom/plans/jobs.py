@@ -24,7 +24,7 @@ def summary(lines: DataFrame) -> dict[str, DataFrame]:
     """Structure of the files: overview per file and in total, noise by kind."""
     files = cut(tn.file_overview(lines))
     noise = tn.noise_counts(lines)
-    return {"files": files, "overview": tn.overview_totals(files), "noise": noise, "noise_totals": noise.groupBy("kind").agg(F.sum("n").alias("n"))}
+    return {"files": files, "overview": tn.overview_totals(files), "raw_speakers": tn.raw_speakers(tn.turns(lines, boilerplate=False)), "noise": noise, "noise_totals": noise.groupBy("kind").agg(F.sum("n").alias("n"))}
 
 
 def extract(lines: DataFrame) -> dict[str, DataFrame]:

@@ -101,8 +101,10 @@ SELECT file_idx, count(*) AS speakers, string_agg(s || '=' || n, '; ' ORDER BY e
 FROM counted WHERE w > 0 GROUP BY raw_name""",
     "file_overview": f"""WITH {_ALL_SPEECH}, p AS (SELECT file_idx, count(DISTINCT page_idx) AS pages FROM lines GROUP BY file_idx),
 s AS (SELECT file_idx, CAST(sum(w) AS BIGINT) AS words, count(*) AS turns, count(DISTINCT raw_name) AS speakers,
- count(DISTINCT CASE WHEN regexp_matches(raw_name, '[^A-Z ''.]') THEN raw_name END) AS unusual_speakers FROM counted GROUP BY file_idx)
-SELECT file_idx, pages, coalesce(words, 0) AS words, coalesce(turns, 0) AS turns, coalesce(speakers, 0) AS speakers, coalesce(unusual_speakers, 0) AS unusual_speakers FROM p LEFT JOIN s USING (file_idx)""",
+ count(DISTINCT CASE WHEN regexp_matches(raw_name, '[^A-Z ''.]') THEN raw_name END) AS unusual_speakers,
+ array_to_string(list_sort(list(DISTINCT raw_name) FILTER (WHERE regexp_matches(raw_name, '[^A-Z ''.]'))), '; ') AS unusual_names FROM counted GROUP BY file_idx)
+SELECT file_idx, pages, coalesce(words, 0) AS words, coalesce(turns, 0) AS turns, coalesce(speakers, 0) AS speakers, coalesce(unusual_speakers, 0) AS unusual_speakers,
+ coalesce(unusual_names, '') AS unusual_names FROM p LEFT JOIN s USING (file_idx)""",
     "overview_totals": f"""WITH {_ALL_SPEECH}, p AS (SELECT file_idx, count(DISTINCT page_idx) AS pages FROM lines GROUP BY file_idx)
 SELECT (SELECT count(*) FROM p) AS files, (SELECT CAST(sum(pages) AS BIGINT) FROM p) AS pages, (SELECT min(pages) FROM p) AS min_pages, (SELECT max(pages) FROM p) AS max_pages,
  (SELECT round(avg(pages), 4) FROM p) AS avg_pages, (SELECT CAST(sum(w) AS BIGINT) FROM counted) AS words, (SELECT count(*) FROM counted) AS turns""",

@@ -113,7 +113,7 @@ def summary_text(tables: dict[str, DataFrame], fonts: DataFrame | None = None, m
     ``tables`` are those of ``jobs.summary``; the table per file stays a table, as it has no bound.
     """
     total = tables["overview"].first()
-    out = ["OVERVIEW", *(f"{name:<14}{'' if total[name] is None else total[name]}" for name in tables["overview"].columns), "", "NOISE LINES"]
+    out = ["OVERVIEW", *(f"{name:<14}{'' if total[name] is None else total[name]}" for name in tables["overview"].columns), f"{'raw speakers':<14}{tables['raw_speakers'].first()[0]}", "", "NOISE LINES"]
     kinds = {r["kind"]: r["n"] for r in tables["noise_totals"].collect()}
     out += [f"{kind:<14}{kinds[kind]}" for kind in sorted(kinds)] + [f"{'total':<14}{sum(kinds.values())}"]
     if fonts is not None:
