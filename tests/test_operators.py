@@ -224,7 +224,7 @@ def test_entry_without_llm():
 def test_summary_text(spark):
     fonts = spark.createDataFrame([([f"F{k:02d} (9pt)" for k in range(25)],)], "fonts array<string>")
     text = summary_text(jobs.summary(_lines(spark)), fonts)
-    assert "raw speakers  1" in text and "files         1" in text and "email         1" in text and "total         3" in text and "... and 5 more" in text
+    assert "raw speakers  2" in text and "files         1" in text and "email         1" in text and "total         3" in text and "... and 5 more" in text
     assert "words         " in summary_text(jobs.summary(_lines(spark).limit(0)))
 
 
