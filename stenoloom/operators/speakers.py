@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -100,7 +100,7 @@ def candidate_pairs(parsed: DataFrame) -> DataFrame:
 
 
 def matching_pairs(parsed: DataFrame) -> DataFrame:
-    """(name_a, name_b) of pairs whose surnames and first names match; likeness of keys is worked
+    """(name_a, name_ord_a, name_b, name_ord_b) of pairs whose surnames and first names match; likeness of keys is worked
     out only where nothing cheaper decides."""
     def side(part: str):
         a, b, ka, kb = (F.col(f"{part}{x}") for x in ("_a", "_b", "_key_a", "_key_b"))
@@ -115,7 +115,8 @@ def matching_pairs(parsed: DataFrame) -> DataFrame:
     sure = near.where("s and f")
     rest = near.where("not (s and f)").withColumn("sr", key_ratio("surname_key_a", "surname_key_b")).withColumn("fr", key_ratio("first_key_a", "first_key_b"))
     rest = rest.where((F.col("s") | (F.col("sr") >= SURNAME_RATIO)) & (F.col("f") | (F.col("fr") >= FIRST_RATIO)))
-    return sure.select("name_a", "name_b").unionByName(rest.select("name_a", "name_b"))
+    cols = ("name_a", "name_ord_a", "name_b", "name_ord_b")
+    return sure.select(*cols).unionByName(rest.select(*cols))
 
 
 def clusters(names: DataFrame) -> DataFrame:
@@ -128,20 +129,22 @@ def clusters(names: DataFrame) -> DataFrame:
     the first name_ord of the group, ``hits`` the groups a surname alone matched.
     """
     parsed = cut(parsed_names(names))
-    pairs = cut(matching_pairs(parsed))
-    ids = parsed.select("name", F.col("name_ord").alias("id"))
-    edges = cut(pairs.join(ids.withColumnsRenamed({"name": "name_a", "id": "a"}), "name_a").join(ids.withColumnsRenamed({"name": "name_b", "id": "b"}), "name_b").select(
-        F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b"))
-    label = _components(parsed.where("kind = 'regular'").select(F.col("name_ord").alias("a")), edges)
-    grouped = cut(parsed.join(label.withColumnsRenamed({"a": "name_ord", "label": "g"}), "name_ord", "left"))
-    # only what a surname alone may join is looked at in order, each such set by itself
-    alone = grouped.where("kind = 'wildcard'")
-    met = cut(_surname_meetings(alone, grouped.where("kind <> 'role'")))
-    node = F.when(F.col("kind_b") == "regular", F.col("g_b")).otherwise(F.col("name_ord_b"))
-    both = cut(met.select(F.explode(F.array(F.struct(F.col("name_ord_a").alias("a"), node.alias("b")), F.struct(node.alias("a"), F.col("name_ord_a").alias("b")))).alias("e")).select("e.a", "e.b").distinct())
-    sets = _components(both.select("a").union(alone.select("name_ord")).distinct(), both)
-    held = grouped.where("kind <> 'role'").withColumn("a", F.coalesce("g", "name_ord")).join(sets, "a").select("name_ord", "kind", "surname", "surname_key", "g", "label")
-    joined = held.groupBy("label").applyInPandas(_attach, "name_ord bigint, group_ord bigint, hits int")
+    named, alone = parsed.where("kind <> 'role'"), parsed.where("kind = 'wildcard'")
+    # two graphs go through one search: names that match, and in odd numbers also surnames alone with
+    # what they match, of which only each connected set is looked at in order
+    links = matching_pairs(parsed).select("name_ord_a", "name_ord_b", F.lit(0).alias("alone")).unionByName(
+        _surname_meetings(alone, named).withColumn("alone", F.lit(1)))
+    a, b = F.col("name_ord_a") * 2, F.col("name_ord_b") * 2
+    both_ways = lambda x, y: (F.struct(x.alias("a"), y.alias("b")), F.struct(y.alias("a"), x.alias("b")))
+    odd = both_ways(a + 1, b + 1)
+    edges = cut(links.select(F.explode(F.when(F.col("alone") == 1, F.array(*odd)).otherwise(F.array(*odd, *both_ways(a, b)))).alias("e")).select("e.a", "e.b").distinct())
+    nodes = named.select(F.explode(F.when(F.col("kind") == "regular", F.array(F.col("name_ord") * 2, F.col("name_ord") * 2 + 1)).otherwise(F.array(F.col("name_ord") * 2 + 1))).alias("a"))
+    label = cut(_components(nodes, edges).select(F.floor(F.col("a") / 2).alias("name_ord"), (F.col("a") % 2).alias("odd"), F.floor(F.col("label") / 2).alias("label")).groupBy("name_ord").agg(
+        F.max(F.when(F.col("odd") == 0, F.col("label"))).alias("g"), F.max(F.when(F.col("odd") == 1, F.col("label"))).alias("set")))
+    grouped = parsed.join(label, "name_ord", "left")
+    sets = label.join(alone.select("name_ord"), "name_ord").select("set").distinct()
+    joined = grouped.where("kind <> 'role'").join(sets, "set", "left_semi").select("name_ord", "kind", "surname", "surname_key", "g", "set").groupBy("set").applyInPandas(
+        _attach, "name_ord bigint, group_ord bigint, hits int")
     return grouped.join(joined, "name_ord", "left").select(
         "name", "words", "name_ord", "kind", F.coalesce("group_ord", "g", "name_ord").alias("group_ord"), F.coalesce("hits", F.lit(0)).alias("hits"))
 
@@ -153,24 +156,25 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         near = edges.join(label.withColumnsRenamed({"a": "b", "label": "gb"}), "b").groupBy("a").agg(F.min("gb").alias("gb"))
         step = label.join(near, "a", "left").select("a", F.least("label", F.coalesce("gb", "label")).alias("label"), F.col("label").alias("old"))
         jump = step.select(F.col("a").alias("label"), F.col("label").alias("gg"))
-        new = cut(step.join(jump, "label", "left").select("a", F.least("label", F.coalesce("gg", "label")).alias("label"), "old"))
-        moved = not new.where("label <> old").isEmpty()
+        seen = Observation()
+        new = cut(step.join(jump, "label", "left").select("a", F.least("label", F.coalesce("gg", "label")).alias("label"), "old").observe(
+            seen, F.max((F.col("label") != F.col("old")).cast("int")).alias("moved")))
         drop(label)
         path = new._cut_path
         label = new.select("a", "label")
         label._cut_path = path
-        if not moved:
+        if not seen.get["moved"]:
             return label
 
 
 def _surname_meetings(alone: DataFrame, named: DataFrame) -> DataFrame:
-    """(name_ord_a, name_ord_b, kind_b, g_b): surnames alone and the names whose surname matches."""
-    side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name_ord", "kind", "surname", "surname_key", "g")],
+    """(name_ord_a, name_ord_b): surnames alone and the names whose surname matches."""
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name_ord", "surname", "surname_key")],
                                    F.substring("surname", 1, 1).alias("s1"), F.explode(_blocks(F.col("surname_key"))).alias("block"))
     pairs = side(alone, "a").join(side(named, "b"), ["s1", "block"]).where("name_ord_a <> name_ord_b").drop("s1", "block").distinct()
     sure = (F.col("surname_a") == F.col("surname_b")) | (F.col("surname_key_a") == F.col("surname_key_b"))
     may = (F.length("surname_key_a") >= KEY_LENGTH) & (F.length("surname_key_b") >= KEY_LENGTH)
-    cols = ("name_ord_a", "name_ord_b", "kind_b", "g_b")
+    cols = ("name_ord_a", "name_ord_b")
     rest = pairs.where(~sure & may).withColumn("r", key_ratio("surname_key_a", "surname_key_b")).where(F.col("r") >= SURNAME_RATIO)
     return pairs.where(sure).select(*cols).unionByName(rest.select(*cols))
 
