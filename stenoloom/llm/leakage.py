@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,8 +153,10 @@ class ItemIndex:
         for a, z in zip(begins[far].tolist(), ends[far].tolist()):
             x = int(item[a])
             if x not in found and len(np.unique(pos[a:z])) >= self.need[x]:
-                own = self.tokens[self.offset[x] : self.offset[x + 1]]
-                if longest_passage(own.tolist(), h[max(0, place[a] - REACH) : place[z - 1] + 4 + REACH].tolist()) >= self.share * len(own):
+                own = self.tokens[self.offset[x] : self.offset[x + 1]].tolist()
+                near = h[max(0, place[a] - REACH) : place[z - 1] + 4 + REACH].tolist()
+                # words in common, in whatever order, bound those of a passage
+                if (Counter(own) & Counter(near)).total() >= self.share * len(own) and longest_passage(own, near) >= self.share * len(own):
                     found.add(x)
         return out + sorted(found)
 
